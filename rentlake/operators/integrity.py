@@ -101,8 +101,8 @@ def is_too_long(column: str, limit: int) -> Column:
 
 def is_not_decimal(column: str, precision: int, scale: int) -> Column:
     """True where a number does not fit DECIMAL(precision, scale) exactly."""
-    value = F.col(column).cast("decimal(38,10)")
-    too_big = F.abs(value) >= F.lit(10 ** (precision - scale)).cast("decimal(38,0)")
+    value = F.col(column)
+    too_big = F.abs(value) >= F.lit(10 ** (precision - scale))
     return F.coalesce(too_big | (F.round(value, scale) != value), F.lit(False))
 
 
@@ -134,7 +134,7 @@ def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     for child, fk, parent, pk, _ in schemas.FOREIGN_KEYS:
         if child in tables and parent in tables and fk in tables[child].columns:
             broken = orphans(tables[child].select(fk), fk, tables[parent], pk)
-            found.append(_counted(broken, child, "FOREIGN KEY", f"{fk}->{parent}"))
+            found.append(_counted(broken, child, "FOREIGN KEY", f"{fk}->{parent}.{pk}"))
     if "rental" in tables:
         found.append(_counted(several_open_rentals(tables["rental"]), "rental", "ONE OPEN RENTAL", "inventory_id"))
     return reduce(DataFrame.unionByName, [f for f in found if f is not None])

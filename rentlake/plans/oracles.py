@@ -138,15 +138,15 @@ _REPORT = [
     ("payment", "RANGE", "customer_id", _where("orders", f"o_custkey not between 0 and {_SMALL}")),
     ("payment", "DECIMAL", "amount", _where("orders", "abs(cast(o_totalprice as decimal(12,2))) >= 1000")),
     ("payment", "PRIMARY KEY", "payment_id", _dup("orders", "o_orderkey")),
-    ("payment", "FOREIGN KEY", "rental_id->rental_id", _orphan("orders", "o_orderkey", "lineitem", "l_orderkey")),
-    ("payment", "FOREIGN KEY", "customer_id->customer_id", _orphan("orders", "o_custkey", "customer", "c_custkey")),
+    ("payment", "FOREIGN KEY", "rental_id->rental.rental_id", _orphan("orders", "o_orderkey", "lineitem", "l_orderkey")),
+    ("payment", "FOREIGN KEY", "customer_id->customer.customer_id", _orphan("orders", "o_custkey", "customer", "c_custkey")),
     ("rental", "NOT NULL", "rental_id", _where("lineitem", "l_orderkey is null")),
     ("rental", "NOT NULL", "inventory_id", _where("lineitem", "l_partkey is null")),
     ("rental", "NOT NULL", "staff_id", _where("lineitem", "l_suppkey is null")),
     ("rental", "RANGE", "inventory_id", _where("lineitem", f"l_partkey not between 0 and {_MEDIUM}")),
     ("rental", "RANGE", "staff_id", _where("lineitem", "l_suppkey not between 0 and 255")),
     ("rental", "PRIMARY KEY", "rental_id", _dup("lineitem", "l_orderkey")),
-    ("rental", "FOREIGN KEY", "inventory_id->inventory_id", _orphan("lineitem", "l_partkey", "part", "p_partkey")),
+    ("rental", "FOREIGN KEY", "inventory_id->inventory.inventory_id", _orphan("lineitem", "l_partkey", "part", "p_partkey")),
     (
         "rental",
         "ONE OPEN RENTAL",
@@ -167,7 +167,7 @@ _REPORT = [
     ("customer", "RANGE", "store_id", _where("customer", "c_nationkey not between 0 and 255")),
     ("customer", "RANGE", "address_id", _where("customer", f"c_nationkey not between 0 and {_SMALL}")),
     ("customer", "PRIMARY KEY", "customer_id", _dup("customer", "c_custkey")),
-    ("customer", "FOREIGN KEY", "address_id->address_id", _orphan("customer", "c_nationkey", "nation", "n_nationkey")),
+    ("customer", "FOREIGN KEY", "address_id->address.address_id", _orphan("customer", "c_nationkey", "nation", "n_nationkey")),
     ("inventory", "NOT NULL", "inventory_id", _where("part", "p_partkey is null")),
     ("inventory", "NOT NULL", "film_id", _where("part", "p_partkey is null")),
     ("inventory", "NOT NULL", "store_id", _where("part", "p_brand is null")),
@@ -175,7 +175,7 @@ _REPORT = [
     ("inventory", "RANGE", "film_id", _where("part", f"p_partkey not between 0 and {_SMALL}")),
     ("inventory", "RANGE", "store_id", _where("part", f"{_STORE} not between 0 and 255")),
     ("inventory", "PRIMARY KEY", "inventory_id", _dup("part", "p_partkey")),
-    ("inventory", "FOREIGN KEY", "film_id->film_id", _orphan("part", "p_partkey", "part", "p_partkey")),
+    ("inventory", "FOREIGN KEY", "film_id->film.film_id", _orphan("part", "p_partkey", "part", "p_partkey")),
     ("film", "NOT NULL", "film_id", _where("part", "p_partkey is null")),
     ("film", "NOT NULL", "title", _where("part", "p_name is null")),
     ("film", "NOT NULL", "rental_duration", _where("part", "p_size is null")),
@@ -202,7 +202,7 @@ _REPORT = [
     ("address", "RANGE", "address_id", _where("nation", f"n_nationkey not between 0 and {_SMALL}")),
     ("address", "RANGE", "city_id", _where("nation", f"n_nationkey not between 0 and {_SMALL}")),
     ("address", "PRIMARY KEY", "address_id", _dup("nation", "n_nationkey")),
-    ("address", "FOREIGN KEY", "city_id->city_id", _orphan("nation", "n_nationkey", "nation", "n_nationkey")),
+    ("address", "FOREIGN KEY", "city_id->city.city_id", _orphan("nation", "n_nationkey", "nation", "n_nationkey")),
     ("city", "NOT NULL", "city_id", _where("nation", "n_nationkey is null")),
     ("city", "NOT NULL", "city", _where("nation", "n_name is null")),
     ("city", "NOT NULL", "country_id", _where("nation", "n_regionkey is null")),

@@ -52,5 +52,5 @@ def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     extra, missing = got - want, want - got
     return (
         f"{sum(got.values())} rows instead of {sum(want.values())}; "
-        f"extra {list(extra.items())[:3]}; missing {list(missing.items())[:3]}"
+        f"extra {list(extra.items())[:8]}; missing {list(missing.items())[:8]}"
     )
