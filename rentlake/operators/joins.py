@@ -48,11 +48,12 @@ def lookup_join(
     keys = [on] if isinstance(on, str) else list(on)
     if how not in SPLITTABLE:
         raise ValueError(f"cannot spread hot keys of a {how} join")
-    if hot is None:
-        if fact.isStreaming or skew_join_on(fact.sparkSession):
-            return fact.join(dim, keys, how)
-        hot = hot_keys(fact, keys)
-    return salted_join(fact, dim, keys, how, hot)
+    if hot is None and (fact.isStreaming or skew_join_on(fact.sparkSession)):
+        joined = fact.join(dim, keys, how)
+    else:
+        joined = salted_join(fact, dim, keys, how, hot_keys(fact, keys) if hot is None else hot)
+    # A semi or anti join gives the rows of `fact` as they were, not the keys first.
+    return joined.select(*fact.columns) if how in ("left_semi", "left_anti") else joined
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str, hot: DataFrame) -> DataFrame:

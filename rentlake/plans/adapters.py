@@ -24,9 +24,13 @@ class RentalData:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def raw(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.file(table))
+        """A table as stored; its footer is read once however often it is used."""
+        if table not in self._read:
+            self._read[table] = self.spark.read.parquet(self.file(table))
+        return self._read[table]
 
     def file(self, table: str) -> str:
         return f"{self.folder}/{table}.parquet"
@@ -157,17 +161,32 @@ class RentalData:
         returned = self.raw("lineitem").select(F.to_date("l_shipdate").alias("day")).distinct()
         return calendar(rented.union(returned), "day")
 
+    @property
+    def dim_customers(self) -> DataFrame:
+        return self.customer.select(F.col("customer_id").alias("customer_key"), "first_name", "last_name", "email")
+
+    @property
+    def dim_staff(self) -> DataFrame:
+        return self.staff.select(
+            F.col("staff_id").alias("staff_key"),
+            "first_name",
+            "last_name",
+            "email",
+            F.col("store_id").alias("store_key"),
+            "active",
+        )
+
+    @property
+    def dim_inventory(self) -> DataFrame:
+        return self.film.drop("description").withColumnRenamed("film_id", "inventory_key")
+
     @property
     def dims(self) -> dict[str, DataFrame]:
         """The dimensions of the silver join."""
-        people = ["first_name", "last_name", "email"]
-        film = self.film.drop("film_id", "description")
         return {
-            "customers": self.customer.select(F.col("customer_id").alias("customer_key"), *people),
-            "staff": self.staff.select(
-                F.col("staff_id").alias("staff_key"), *people, F.col("store_id").alias("store_key"), "active"
-            ),
-            "inventory": self.film.select(F.col("film_id").alias("inventory_key"), *film.columns),
+            "customers": self.dim_customers,
+            "staff": self.dim_staff,
+            "inventory": self.dim_inventory,
             "dates": self.dates,
         }
 

@@ -47,14 +47,13 @@ def _money(df: DataFrame, *columns: str) -> DataFrame:
 @query
 def gold_customer_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = RentalData(spark, sf_dir)
-    dims = d.dims
-    return _money(gold.customer_spend(d.facts, dims["customers"], dims["inventory"]), "total_rental_price")
+    return _money(gold.customer_spend(d.facts, d.dim_customers, d.dim_inventory), "total_rental_price")
 
 
 @query
 def gold_customer_spend_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = RentalData(spark, sf_dir)
-    return _money(gold.customer_spend_by_key(d.facts, d.dims["inventory"]), "total_rental_price")
+    return _money(gold.customer_spend_by_key(d.facts, d.dim_inventory), "total_rental_price")
 
 
 # ---- reporting views -----------------------------------------------------------
@@ -217,9 +216,9 @@ def bronze_json_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).drop("receipt_time", "source_file")
 
 
-def _bronze_rentals(spark: SparkSession, sf_dir: str, work: Workspace) -> str:
+def _bronze_rentals(d: RentalData, work: Workspace) -> str:
     """Order lines streamed in, made rentals by a stream-static join, appended to bronze."""
-    d = RentalData(spark, sf_dir)
+    spark = d.spark
     source = ingest.stream_files(spark, d.stream_path("lineitem"), d.raw("lineitem").schema, fmt="parquet")
     rentals = raw_rentals(with_orders(rental_lines(ingest.with_lineage(source)), d.raw("orders")))
     table = work.table("bronze_rentals")
@@ -227,27 +226,31 @@ def _bronze_rentals(spark: SparkSession, sf_dir: str, work: Workspace) -> str:
     return table
 
 
-def _silver_rentals(spark: SparkSession, sf_dir: str, require_return: bool = True) -> str:
-    work = Workspace(spark)
-    bronze = _bronze_rentals(spark, sf_dir, work)
+def _dims(d: RentalData, work: Workspace) -> dict[str, DataFrame]:
+    """The dimensions; the calendar is written once, not found again in every batch."""
+    dims = d.dims
+    return {**dims, "dates": tables.replace_table(dims["dates"], work.table("dim_date"), work.path("dim_date"))}
+
+
+def _silver_rentals(d: RentalData, require_return: bool = True) -> DataFrame:
+    work = Workspace(d.spark)
+    bronze = _bronze_rentals(d, work)
     table = work.table("silver_rentals")
-    dims = RentalData(spark, sf_dir).dims
     medallion.run_silver(
-        spark, bronze, dims, table, work.path("silver_checkpoint"), work.path("silver"), require_return
+        d.spark, bronze, _dims(d, work), table, work.path("silver_checkpoint"), work.path("silver"), require_return
     )
-    return table
+    return d.spark.table(table)
 
 
 @query
 def silver_stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = spark.table(_silver_rentals(spark, sf_dir))
-    return silver.drop("receipt_time", "source_file")
+    return _silver_rentals(RentalData(spark, sf_dir)).drop("receipt_time", "source_file")
 
 
 @query
 def silver_with_open_rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver that keeps rentals still out, as counts per staff member and return month."""
-    silver = spark.table(_silver_rentals(spark, sf_dir, require_return=False))
+    silver = _silver_rentals(RentalData(spark, sf_dir), require_return=False)
     return silver.groupBy("staff_key", "return_month").agg(F.count(F.lit(1)).alias("n_rentals"))
 
 
@@ -255,8 +258,9 @@ def silver_with_open_rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows that silver loses and why."""
     work = Workspace(spark)
-    bronze = spark.table(_bronze_rentals(spark, sf_dir, work))
-    lost = medallion.unmatched_rentals(bronze, **RentalData(spark, sf_dir).dims)
+    d = RentalData(spark, sf_dir)
+    bronze = spark.table(_bronze_rentals(d, work))
+    lost = medallion.unmatched_rentals(bronze, **_dims(d, work))
     return lost.select(
         "rental_key", "inventory_key", "staff_key", "customer_key", F.array_join("missing", ",").alias("missing")
     )
@@ -267,9 +271,9 @@ def silver_late_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver built while furniture customers were unknown, then completed, per segment."""
     work = Workspace(spark)
     d = RentalData(spark, sf_dir)
-    dims = d.dims
+    dims = _dims(d, work)
     early = {**dims, "customers": dims["customers"].where(~F.col("email").endswith("@furniture"))}
-    bronze = _bronze_rentals(spark, sf_dir, work)
+    bronze = _bronze_rentals(d, work)
     table = work.table("silver_rentals")
     medallion.run_silver(spark, bronze, early, table, work.path("silver_checkpoint"), work.path("silver"))
     late = medallion.late_rentals(spark.table(bronze), spark.table(table), **dims)
@@ -282,9 +286,9 @@ def silver_late_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gold_from_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files to bronze, silver and gold."""
-    silver = spark.table(_silver_rentals(spark, sf_dir))
-    dims = RentalData(spark, sf_dir).dims
-    return _money(gold.customer_spend(silver, dims["customers"], dims["inventory"]), "total_rental_price")
+    d = RentalData(spark, sf_dir)
+    silver = _silver_rentals(d)
+    return _money(gold.customer_spend(silver, d.dim_customers, d.dim_inventory), "total_rental_price")
 
 
 # ---- sources and sinks ---------------------------------------------------------
@@ -345,7 +349,7 @@ def table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = RentalData(spark, sf_dir)
     name = work.table("dim_customers")
     for _ in range(2):
-        tables.replace_table(d.dims["customers"], name, work.path("dim_customers"))
+        tables.replace_table(d.dim_customers, name, work.path("dim_customers"))
     return spark.table(name)
 
 

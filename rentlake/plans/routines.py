@@ -31,7 +31,7 @@ def rewards_report(
         .agg(F.sum("amount").alias("spent"), F.count(F.lit(1)).alias("purchases"))
         .where((F.col("spent") > F.lit(str(min_amount)).cast("decimal(10,2)")) & (F.col("purchases") > min_purchases))
     )
-    return customer.join(best.select("customer_id"), "customer_id", "left_semi")
+    return customer.join(best.select("customer_id"), "customer_id", "left_semi").select(*customer.columns)
 
 
 def rewardee_count(

@@ -1,0 +1,148 @@
+import datetime as dt
+import os
+import tempfile
+
+import pytest
+
+from rentlake.session import local_session
+
+SAMPLES = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    session = local_session(
+        4,
+        "tests",
+        **{
+            "spark.checkpoint.dir": f"{scratch}/shared",
+            "spark.sql.warehouse.dir": f"{scratch}/warehouse",
+        },
+    )
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def folder():
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
+def _with_settings(spark, settings):
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.fixture
+def without_merging(spark):
+    """Small shuffle partitions stay apart, as partitions of large data do."""
+    yield from _with_settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+
+
+@pytest.fixture
+def without_adaptive_execution(spark):
+    """No adaptive execution and no broadcast of small tables."""
+    yield from _with_settings(
+        spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    )
+
+
+@pytest.fixture(scope="session")
+def rental_shop(spark):
+    """A small rental shop with the rows that sample data cannot show."""
+    day = dt.datetime
+    tables = {
+        "country": ("country_id INT, country STRING", [(1, "Avalon"), (2, "Borduria")]),
+        "city": ("city_id INT, city STRING, country_id INT", [(1, "Oz", 1), (2, "Brill", 2)]),
+        "address": (
+            "address_id INT, address STRING, district STRING, city_id INT, postal_code STRING, phone STRING",
+            [(1, "1 Elm", "N", 1, "111", "555"), (2, "2 Oak", "S", 2, None, "556"), (3, "3 Fir", "S", 2, "333", "557")],
+        ),
+        "store": ("store_id INT, manager_staff_id INT, address_id INT", [(1, 1, 1), (2, 2, 2)]),
+        "staff": (
+            "staff_id INT, first_name STRING, last_name STRING, address_id INT, email STRING, store_id INT, active BOOLEAN",
+            [(1, "Ann", "Lee", 1, "a@x", 1, True), (2, "Bob", "Ray", 2, None, 2, True)],
+        ),
+        "customer": (
+            "customer_id INT, store_id INT, first_name STRING, last_name STRING, email STRING, address_id INT, active BOOLEAN",
+            [
+                (1, 1, "MARY ANN", "SMITH", "m@x", 1, True),
+                (2, 1, "JOHN", "SMITH", None, 3, False),
+                (3, 2, "EVE", "NG", "e@x", 2, True),
+                (4, 2, "NO", "BODY", "n@x", 2, True),
+            ],
+        ),
+        "category": ("category_id INT, name STRING", [(1, "Action"), (2, "Drama"), (3, "Drama")]),
+        "film": (
+            "film_id INT, title STRING, description STRING, release_year INT, language_id INT, rental_duration INT, "
+            "rental_rate DECIMAL(4,2), length INT, replacement_cost DECIMAL(5,2), rating STRING, special_features STRING",
+            [
+                (1, "ALPHA", "a", 2001, 1, 3, _dec("0.99"), 90, _dec("9.99"), "G", "Trailers"),
+                (2, "BETA", None, 2002, 1, 5, _dec("2.99"), 95, _dec("19.99"), "PG", "Trailers,Commentaries"),
+                (3, "GAMMA", "c", 2003, 1, 7, _dec("4.99"), None, _dec("29.99"), None, None),
+                (4, "DELTA", "d", 2004, 1, 7, _dec("4.99"), 80, _dec("29.99"), "R", ""),
+            ],
+        ),
+        # Film 2 is in two categories, one of whose names is also another category's; film 4 is in none.
+        "film_category": ("film_id INT, category_id INT", [(1, 1), (2, 1), (2, 2), (3, 2), (3, 3)]),
+        "actor": (
+            "actor_id INT, first_name STRING, last_name STRING",
+            [(1, "UMA", "LEE WONG"), (2, "ADA", "KAY"), (3, "IDLE", "MAN"), (4, "ONLY", "DELTA")],
+        ),
+        # Film 3 has one actor, film 4 an actor but no category, actor 3 no film.
+        "film_actor": ("actor_id INT, film_id INT", [(1, 1), (2, 1), (1, 2), (2, 3), (4, 4)]),
+        # Copy 5 was never rented.
+        "inventory": (
+            "inventory_id INT, film_id INT, store_id INT",
+            [(1, 1, 1), (2, 1, 1), (3, 2, 2), (4, 3, 2), (5, 4, 1)],
+        ),
+        # Copy 2 is out once, copy 4 is out twice (a fault the checks must show).
+        "rental": (
+            "rental_id INT, rental_date TIMESTAMP_NTZ, inventory_id INT, customer_id INT, return_date TIMESTAMP_NTZ, staff_id INT",
+            [
+                (1, day(2024, 1, 30, 23, 59), 1, 1, day(2024, 2, 4, 0, 1), 1),
+                (2, day(2024, 2, 1, 10), 2, 1, None, 1),
+                (3, day(2024, 2, 2, 10), 3, 2, day(2024, 2, 5, 10), 2),
+                (4, day(2024, 2, 29, 10), 4, 3, None, 2),
+                (5, day(2024, 3, 1, 10), 4, 2, None, 2),
+            ],
+        ),
+        # Payment 5 names no rental; payments 3 and 4 lie on the month's first and last moment.
+        "payment": (
+            "payment_id INT, customer_id INT, staff_id INT, rental_id INT, amount DECIMAL(5,2), payment_date TIMESTAMP_NTZ",
+            [
+                (1, 1, 1, 1, _dec("2.99"), day(2024, 1, 31, 12)),
+                (2, 1, 1, 2, _dec("0.99"), day(2024, 2, 2, 12)),
+                (3, 2, 2, 3, _dec("5.00"), day(2024, 2, 1)),
+                (4, 2, 2, 5, _dec("5.00"), day(2024, 2, 29, 23, 59, 59)),
+                (5, 3, 2, None, _dec("50.00"), day(2024, 2, 10)),
+                (6, 3, 2, 4, _dec("1.00"), day(2024, 3, 1)),
+            ],
+        ),
+    }
+    return {name: spark.createDataFrame(rows, schema) for name, (schema, rows) in tables.items()}
+
+
+def _dec(text):
+    import decimal
+
+    return decimal.Decimal(text)
+
+
+def rows(df, *columns):
+    """The rows of a result as sorted tuples."""
+    if columns:
+        df = df.select(*columns)
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+    return path

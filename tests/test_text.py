@@ -1,0 +1,61 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rentlake.functions import calendar, capitalise, full_name, ordered_concat, ordered_parts
+from tests.conftest import rows
+
+
+def test_capitalise_is_not_per_word(spark):
+    df = spark.createDataFrame([("MARY ANN",), ("x",), ("",), (None,)], "t STRING")
+    assert [r[0] for r in df.select(capitalise("t")).collect()] == ["Mary ann", "X", "", None]
+
+
+def test_full_name_is_null_if_a_part_is(spark):
+    df = spark.createDataFrame([("A", "B"), ("A", None)], "f STRING, l STRING")
+    assert [r[0] for r in df.select(full_name("f", "l")).collect()] == ["A B", None]
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of all rows in one group, with repeats and NULLs."""
+    rng = random.Random(7)
+    data = [(0 if rng.random() < 0.33 else rng.randrange(1, 60), f"n{rng.randrange(400):03d}", i) for i in range(6000)]
+    data += [(100, None, 9000), (101, None, 9001), (101, "only", 9002)]
+    return data, spark.createDataFrame(data, "k INT, name STRING, id INT").repartition(5)
+
+
+def expected(data, sep=", "):
+    groups = {}
+    for key, name, _ in data:
+        groups.setdefault(key, [])
+        if name is not None:
+            groups[key].append(name)
+    return {key: sep.join(sorted(names)) if names else None for key, names in groups.items()}
+
+
+def test_ordered_concat_equals_brute_force(skewed):
+    data, df = skewed
+    assert dict(rows(ordered_concat(df, ["k"], "name", ["name", "id"], ", ", "names"))) == expected(data)
+
+
+def test_separator_may_hold_quotes(skewed):
+    data, df = skewed
+    got = dict(rows(ordered_concat(df, ["k"], "name", ["name", "id"], " '\\ ", "names")))
+    assert got == expected(data, " '\\ ")
+
+
+def test_parts_of_a_hot_group_are_many_and_in_order(without_merging, skewed):
+    data, df = skewed
+    parts = ordered_parts(df, ["k"], "name", ["name", "id"], ", ", "names").where("k = 0").orderBy("part").collect()
+    assert len(parts) > 1
+    assert ", ".join(p["names"] for p in parts) == expected(data)[0]
+    biggest = max(p["names"].count(",") + 1 for p in parts)
+    assert biggest <= 0.5 * len(data)
+
+
+def test_calendar(spark):
+    df = spark.sql("SELECT * FROM VALUES (timestamp'2024-05-07 23:59:00'), (timestamp'2024-05-07 00:00:00'), (NULL) AS t(ts)")
+    got = calendar(df, "ts").withColumn("Date", F.col("Date").cast("string")).collect()
+    assert [tuple(r) for r in got] == [("2024-05-07", "May", "Tuesday", 7, 2024)]
