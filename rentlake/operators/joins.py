@@ -30,30 +30,43 @@ def hot_keys(df: DataFrame, on: str | Sequence[str]) -> DataFrame:
     return counts.orderBy(F.desc("_n"), *keys).limit(HOT_KEYS).select(*keys)
 
 
+def is_small(df: DataFrame) -> bool:
+    """Does Catalyst expect `df` to stay below the session's broadcast threshold?
+
+    Such a side is broadcast, so the other side is not shuffled and no key of it can
+    be hot. Without access to the estimate (a remote session) the answer is no.
+    """
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
+        return False
+    threshold = plan.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
+    return plan.queryExecution().optimizedPlan().stats().sizeInBytes() <= threshold
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
     on: str | Sequence[str],
     how: str = "inner",
-    hot: DataFrame | None = None,
+    keys_in: DataFrame | None = None,
 ) -> DataFrame:
     """Join `fact` to `dim` on equally named columns.
 
     * `dim` below the session's broadcast threshold: Catalyst, or adaptive
       execution from the measured size, broadcasts it; nothing is hinted here.
     * otherwise a shuffle join, whose skewed partitions adaptive execution splits;
-    * with adaptive skew handling off, or `hot` keys named by the caller: hot (and
-      NULL) keys are salted over all shuffle partitions.
+    * in a session without adaptive skew handling: hot (and NULL) keys are salted over
+      all shuffle partitions. They are counted in `keys_in`, the stored table from
+      which the keys of `fact` come, so that earlier joins are not run twice.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in SPLITTABLE:
         raise ValueError(f"cannot spread hot keys of a {how} join")
-    if hot is None and (fact.isStreaming or skew_join_on(fact.sparkSession)):
+    if fact.isStreaming or skew_join_on(fact.sparkSession) or is_small(dim):
         joined = fact.join(dim, keys, how)
-    else:
-        joined = salted_join(fact, dim, keys, how, hot_keys(fact, keys) if hot is None else hot)
-    # A semi or anti join gives the rows of `fact` as they were, not the keys first.
-    return joined.select(*fact.columns) if how in ("left_semi", "left_anti") else joined
+        # A semi or anti join gives the rows of `fact` as they were, not the keys first.
+        return joined.select(*fact.columns) if how in ("left_semi", "left_anti") else joined
+    return salted_join(fact, dim, keys, how, hot_keys(fact if keys_in is None else keys_in, keys))
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str, hot: DataFrame) -> DataFrame:
@@ -64,6 +77,8 @@ def salted_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str,
     mixes the row's hash with its map task, so identical copies spread too, and a
     retried task salts its rows alike.
     """
+    if how not in SPLITTABLE:
+        raise ValueError(f"cannot spread hot keys of a {how} join")
     salts = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     flags = F.broadcast(hot.select(*keys).limit(HOT_KEYS).distinct().withColumn("_hot", F.lit(True)))
     unmatchable = F.lit(False)
@@ -78,4 +93,5 @@ def salted_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str,
     )
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = dim.join(flags, list(keys), "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    joined = left.join(right, [*keys, "_salt"], how).drop("_salt")
+    return joined.select(*fact.columns) if how in ("left_semi", "left_anti") else joined

@@ -148,11 +148,29 @@ class RentalData:
     @property
     def rental_lines(self) -> DataFrame:
         """Rentals as far as order lines alone tell: no customer, no rental date."""
-        return rental_lines(self.raw("lineitem"))
+        out = (
+            (F.col("l_returnflag") == "N")
+            & (F.col("l_linestatus") == "O")
+            & (F.col("l_shipdate") > F.lit(STILL_OUT_AFTER).cast("timestamp_ntz"))
+        )
+        return self.raw("lineitem").select(
+            F.col("l_orderkey").alias("rental_id"),
+            F.col("l_linenumber").alias("line"),
+            F.col("l_partkey").alias("inventory_id"),
+            F.col("l_suppkey").alias("staff_id"),
+            F.when(~out, F.col("l_shipdate")).alias("return_date"),
+            F.col("l_shipdate").alias("modified_date"),
+        )
 
     @property
     def rental(self) -> DataFrame:
-        return with_orders(self.rental_lines, self.raw("orders"))
+        """Rental lines with the customer and date of their order."""
+        heads = self.raw("orders").select(
+            F.col("o_orderkey").alias("rental_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").alias("rental_date"),
+        )
+        return lookup_join(self.rental_lines, heads, "rental_id")
 
     @property
     def dates(self) -> DataFrame:
@@ -192,8 +210,17 @@ class RentalData:
 
     @property
     def facts(self) -> DataFrame:
-        """Rentals under the key names of the lakehouse."""
-        return raw_rentals(self.rental)
+        """Rentals in the layout of the raw files."""
+        return self.rental.select(
+            F.col("rental_id").alias("rental_key"),
+            F.col("customer_id").alias("customer_key"),
+            F.col("staff_id").alias("staff_key"),
+            F.col("line").alias("store_key"),
+            F.col("inventory_id").alias("inventory_key"),
+            "rental_date",
+            "return_date",
+            "modified_date",
+        )
 
     @property
     def film_text(self) -> DataFrame:
@@ -244,50 +271,6 @@ class RentalData:
         )
 
 
-def rental_lines(lineitem: DataFrame) -> DataFrame:
-    """Order lines as rentals; works on a stream too. Other columns pass through."""
-    out = (
-        (F.col("l_returnflag") == "N")
-        & (F.col("l_linestatus") == "O")
-        & (F.col("l_shipdate") > F.lit(STILL_OUT_AFTER).cast("timestamp_ntz"))
-    )
-    return lineitem.select(
-        F.col("l_orderkey").alias("rental_id"),
-        F.col("l_linenumber").alias("line"),
-        F.col("l_partkey").alias("inventory_id"),
-        F.col("l_suppkey").alias("staff_id"),
-        F.when(~out, F.col("l_shipdate")).alias("return_date"),
-        F.col("l_shipdate").alias("modified_date"),
-        *[c for c in lineitem.columns if not c.startswith("l_")],
-    )
-
-
-def with_orders(lines: DataFrame, orders: DataFrame) -> DataFrame:
-    """Rental lines with the customer and rental date of their order."""
-    heads = orders.select(
-        F.col("o_orderkey").alias("rental_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").alias("rental_date"),
-    )
-    return lookup_join(lines, heads, "rental_id")
-
-
-def raw_rentals(rental: DataFrame) -> DataFrame:
-    """Rentals in the layout of the raw files; lineage columns pass through."""
-    lineage = [c for c in ("receipt_time", "source_file") if c in rental.columns]
-    return rental.select(
-        F.col("rental_id").alias("rental_key"),
-        F.col("customer_id").alias("customer_key"),
-        F.col("staff_id").alias("staff_key"),
-        F.col("line").alias("store_key"),
-        F.col("inventory_id").alias("inventory_key"),
-        "rental_date",
-        "return_date",
-        "modified_date",
-        *lineage,
-    )
-
-
 def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 100_000) -> str:
     """Write rows as JSON files of one array each, at most `rows_per_file` long.
 

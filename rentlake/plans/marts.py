@@ -11,8 +11,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rentlake.functions import capitalise, full_name, ordered_concat
-from rentlake.operators.joins import hot_keys, lookup_join
+from rentlake.functions import capitalise, full_name, ordered_concat, ordered_parts
+from rentlake.operators.joins import hot_keys, is_small, lookup_join, salted_join
 
 
 def _places(address: DataFrame, city: DataFrame, country: DataFrame) -> DataFrame:
@@ -24,29 +24,29 @@ def _places(address: DataFrame, city: DataFrame, country: DataFrame) -> DataFram
 def customer_list(customer: DataFrame, address: DataFrame, city: DataFrame, country: DataFrame) -> DataFrame:
     """Customers with address, place and an 'active' note."""
     people = customer.select(
-        F.col("customer_id").alias("id"),
+        F.col("customer_id").alias("ID"),
         full_name("first_name", "last_name").alias("name"),
         F.when(F.col("active"), "active").otherwise("").alias("notes"),
-        F.col("store_id").alias("sid"),
+        F.col("store_id").alias("SID"),
         "address_id",
     )
     located = lookup_join(people, _places(address, city, country), "address_id")
     return located.select(
-        "id", "name", "address", F.col("postal_code").alias("zip_code"), "phone", "city", "country", "notes", "sid"
+        "ID", "name", "address", F.col("postal_code").alias("zip code"), "phone", "city", "country", "notes", "SID"
     )
 
 
 def staff_list(staff: DataFrame, address: DataFrame, city: DataFrame, country: DataFrame) -> DataFrame:
     """Staff with address and place."""
     people = staff.select(
-        F.col("staff_id").alias("id"),
+        F.col("staff_id").alias("ID"),
         full_name("first_name", "last_name").alias("name"),
-        F.col("store_id").alias("sid"),
+        F.col("store_id").alias("SID"),
         "address_id",
     )
     located = lookup_join(people, _places(address, city, country), "address_id")
     return located.select(
-        "id", "name", "address", F.col("postal_code").alias("zip_code"), "phone", "city", "country", "sid"
+        "ID", "name", "address", F.col("postal_code").alias("zip code"), "phone", "city", "country", "SID"
     )
 
 
@@ -57,13 +57,17 @@ def film_list(
     film_actor: DataFrame,
     actor: DataFrame,
     name: Callable[[], Column] | None = None,
+    in_parts: bool = False,
 ) -> DataFrame:
     """One row per film and category name with the film's actors, in name order.
 
     Films without a category or without actors are left out. The group keeps only
     keys and names while it is built; the film's own columns are joined at the end.
+    `in_parts` gives a long list as several rows, numbered by `part`, none of which
+    outgrows a shuffle partition.
     """
     actor_name = name() if name else full_name("first_name", "last_name")
+    build = ordered_parts if in_parts else ordered_concat
     labelled = lookup_join(
         film_category.select("film_id", "category_id"),
         category.select("category_id", F.col("name").alias("category")),
@@ -72,14 +76,13 @@ def film_list(
     cast_members = lookup_join(
         film_actor.select("film_id", "actor_id"), actor.select("actor_id", actor_name.alias("actors")), "actor_id"
     )
-    rows = lookup_join(cast_members, labelled, "film_id")
-    lists = ordered_concat(rows, ["film_id", "category"], "actors", ["actors", "actor_id"], ", ", "actors")
+    rows = lookup_join(cast_members, labelled, "film_id", keys_in=film_actor)
+    lists = build(rows, ["film_id", "category"], "actors", ["actors", "actor_id"], ", ", "actors")
     films = film.select(
         "film_id", "title", "description", F.col("rental_rate").alias("price"), "length", "rating"
     )
-    return lookup_join(lists, films, "film_id").select(
-        F.col("film_id").alias("fid"), "title", "description", "category", "price", "length", "rating", "actors"
-    )
+    columns = ["title", "description", "category", "price", "length", "rating", *(["part"] if in_parts else []), "actors"]
+    return lookup_join(lists, films, "film_id").select(F.col("film_id").alias("FID"), *columns)
 
 
 def film_list_capitalised(
@@ -162,11 +165,15 @@ def actor_info(
     actor: DataFrame, film_actor: DataFrame, film: DataFrame, film_category: DataFrame, category: DataFrame
 ) -> DataFrame:
     """Actors with `Category: title, title; Category: title`; NULL where there is no film."""
-    shelved = lookup_join(film_category.select("film_id", "category_id"), film.select("film_id", "title"), "film_id")
     appearances = film_actor.select("actor_id", "film_id")
-    # Two joins in a row on one key leave no shuffle that adaptive execution could
-    # split, so a film with very many actors is salted here.
-    filed = lookup_join(appearances, shelved, "film_id", hot=hot_keys(appearances, "film_id"))
+    titled, shelved = film.select("film_id", "title"), film_category.select("film_id", "category_id")
+    if is_small(titled) and is_small(shelved):
+        filed = appearances.join(titled, "film_id").join(shelved, "film_id")
+    else:
+        # Two shuffle joins in a row on one key leave no shuffle that adaptive execution
+        # could split, so a film with very many actors is salted.
+        films = lookup_join(shelved, titled, "film_id")
+        filed = salted_join(appearances, films, ["film_id"], "inner", hot_keys(appearances, "film_id"))
     titles = ordered_concat(filed, ["actor_id", "category_id"], "title", ["title", "film_id"], ", ", "titles")
     sections = (
         lookup_join(titles, category.select("category_id", "name"), "category_id")

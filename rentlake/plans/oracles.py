@@ -36,7 +36,7 @@ def _capital(column: str) -> str:
 def _film_list(actor: str) -> str:
     return _with(
         "filed played",
-        f"""select p_partkey as fid, p_name as title, concat(p_brand, ' ', p_type) as description, category,
+        f"""select p_partkey as "FID", p_name as title, concat(p_brand, ' ', p_type) as description, category,
             cast(p_retailprice as decimal(12,2)) as price, p_size as length, p_brand as rating,
             string_agg({actor}, ', ' order by {actor}) as actors
         from part join filed on filed.film_id = p_partkey join played on played.film_id = p_partkey
@@ -214,26 +214,34 @@ _REPORT = [
 
 _FIRST = "upper(split_part(s_name, '#', 1))"
 _PLACED = "n_name as city, r_name as country"
-_HOME = "concat('1 ', n_name) as address, cast(n_nationkey as varchar) as zip_code, concat('+', cast(n_nationkey as varchar)) as phone"
+_HOME = """concat('1 ', n_name) as address, cast(n_nationkey as varchar) as "zip code",
+            concat('+', cast(n_nationkey as varchar)) as phone"""
 
 ORACLES: dict[str, str] = {
     "gold_customer_spend": _spend("split_part(c_name, '#', 2)", "customer_name"),
     "gold_customer_spend_by_key": _spend("c_custkey", "customer_key"),
     "customer_list": _with(
         "place",
-        f"""select c_custkey as id, {_name('c_name')} as name, {_HOME}, {_PLACED},
-            case when c_acctbal > 0 then 'active' else '' end as notes, c_nationkey as sid
+        f"""select c_custkey as "ID", {_name('c_name')} as name, {_HOME}, {_PLACED},
+            case when c_acctbal > 0 then 'active' else '' end as notes, c_nationkey as "SID"
         from customer join place on n_nationkey = c_nationkey""",
     ),
     "staff_list": _with(
         "place",
-        f"""select s_suppkey as id, {_name('s_name')} as name, {_HOME}, {_PLACED}, s_nationkey as sid
+        f"""select s_suppkey as "ID", {_name('s_name')} as name, {_HOME}, {_PLACED}, s_nationkey as "SID"
         from supplier join place on n_nationkey = s_nationkey""",
     ),
     "film_list": _film_list(f"concat({_FIRST}, ' ', split_part(s_name, '#', 2))"),
     "film_list_capitalised": _film_list(
         f"concat({_capital(_FIRST)}, ' ', split_part(s_name, '#', 2))"
     ),
+    "film_list_parts": _with(
+        "filed played",
+        """select filed.film_id as "FID", category, count(*) as n_actors,
+            cast(sum(length(s_name)) as bigint) as n_letters
+        from filed join played on played.film_id = filed.film_id join supplier on s_suppkey = actor_id
+        group by filed.film_id, category""",
+    ),
     "actor_info": _with(
         "filed played",
         """, listed as (select actor_id, category, string_agg(p_name, ', ' order by p_name) as titles

@@ -55,7 +55,8 @@ def customer_balance(
     as_of: dt.datetime | str,
 ) -> DataFrame:
     """What every customer owes at a moment: rental fees, plus one per day kept beyond
-    the film's rental time, minus payments. Customers without either owe 0.
+    the film's rental time, minus payments. Customers without either owe 0, and so do
+    unknown ids, since `customer` may be any list of customer ids.
 
     Charges and payments are one stream of signed amounts, so there is one
     aggregation and one join instead of one per kind.
@@ -71,7 +72,7 @@ def customer_balance(
     )
     kept = days_between(F.col("return_date"), F.col("rental_date"))
     late = F.when(kept > F.col("rental_duration"), kept - F.col("rental_duration")).otherwise(0)
-    charges = lookup_join(rented, copies, "inventory_id").select(
+    charges = lookup_join(rented, copies, "inventory_id", keys_in=rental).select(
         "customer_id", (F.col("rental_rate") + late).alias("amount")
     )
     payments = payment.where(F.col("payment_date") <= moment).select(
@@ -99,7 +100,10 @@ def open_rentals(rental: DataFrame) -> DataFrame:
 
 
 def inventory_in_stock(inventory: DataFrame, rental: DataFrame) -> DataFrame:
-    """Every copy with TRUE if no rental of it is open."""
+    """Every copy with TRUE if no rental of it is open.
+
+    `inventory` may be any list of copy ids; a copy nobody knows is in stock.
+    """
     out = _copies_out(rental).withColumn("out", F.lit(True))
     return (
         inventory.select("inventory_id")

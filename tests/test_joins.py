@@ -26,7 +26,7 @@ def sides(spark):
 @pytest.mark.parametrize("how", joins.SPLITTABLE)
 def test_salted_join_equals_plain_join(sides, how):
     fact, dim = sides
-    got = joins.lookup_join(fact, dim, "k", how, hot=joins.hot_keys(fact, "k"))
+    got = joins.salted_join(fact, dim, ["k"], how, joins.hot_keys(fact, "k"))
     want = fact.join(dim, "k", how)
     assert rows(got, *sorted(want.columns)) == rows(want, *sorted(want.columns))
 
@@ -48,7 +48,7 @@ def test_join_is_salted_when_the_session_does_not_split_skew(without_adaptive_ex
 def test_join_on_two_columns(spark):
     fact = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "a", 3)], "x INT, y STRING, v INT")
     dim = spark.createDataFrame([(1, "a", "A"), (2, "a", "B")], "x INT, y STRING, l STRING")
-    got = joins.lookup_join(fact, dim, ["x", "y"], hot=joins.hot_keys(fact, ["x", "y"]))
+    got = joins.salted_join(fact, dim, ["x", "y"], "inner", joins.hot_keys(fact, ["x", "y"]))
     assert rows(got, "v", "l") == [(1, "A"), (3, "B")]
 
 
@@ -63,3 +63,28 @@ def test_other_join_kinds_are_refused(sides):
     fact, dim = sides
     with pytest.raises(ValueError):
         joins.lookup_join(fact, dim, "k", "full")
+    with pytest.raises(ValueError):
+        joins.salted_join(fact, dim, ["k"], "full", joins.hot_keys(fact, "k"))
+
+
+def test_small_sides_are_told_by_the_session_threshold(spark, folder):
+    spark.range(1000).write.parquet(f"{folder}/t")
+    table = spark.read.parquet(f"{folder}/t")
+    assert joins.is_small(table)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        assert not joins.is_small(table)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_hot_keys_are_counted_in_the_stored_table(without_adaptive_execution, sides):
+    fact, dim = sides
+    first = joins.lookup_join(fact, dim.withColumnRenamed("label", "one"), "k")
+    second = joins.lookup_join(first, dim.withColumnRenamed("label", "two"), "k", keys_in=fact)
+    plan = second._jdf.queryExecution().optimizedPlan().toString()
+    # Two salted joins, each with its two flags: the first join is there once.
+    assert plan.count("_spread") > 0 and plan.count("Join Inner") == 2
+    want = fact.join(dim.withColumnRenamed("label", "one"), "k").join(dim.withColumnRenamed("label", "two"), "k")
+    assert rows(second) == rows(want)

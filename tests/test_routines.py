@@ -98,3 +98,13 @@ def test_stock(rental_shop):
 def test_holder(rental_shop):
     got = rows(routines.inventory_held_by_customer(rental_shop["inventory"], rental_shop["rental"]))
     assert got == [(1, None, 0), (2, 1, 1), (3, None, 0), (4, 2, 2), (5, None, 0)]
+
+
+def test_unknown_ids(spark, rental_shop):
+    # Any list of ids may be asked about: an unknown copy is in stock, an unknown customer owes nothing.
+    ids = spark.createDataFrame([(99,)], "inventory_id INT")
+    assert rows(routines.inventory_in_stock(ids, rental_shop["rental"])) == [(99, True)]
+    assert rows(routines.inventory_held_by_customer(ids, rental_shop["rental"])) == [(99, None, 0)]
+    people = spark.createDataFrame([(99,)], "customer_id INT")
+    shop = {**rental_shop, "customer": people}
+    assert balances(shop, "2024-02-29 23:59:59") == {99: Decimal("0.00")}
