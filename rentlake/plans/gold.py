@@ -15,7 +15,7 @@ def customer_spend(fact: DataFrame, customers: DataFrame, inventory: DataFrame)
     before the customer dimension is joined, so that join meets one row per key.
     """
     per_key = customer_spend_by_key(fact, inventory)
-    named = lookup_join(per_key, customers.select("customer_key", "last_name"), "customer_key")
+    named = per_key.join(customers.select("customer_key", "last_name"), "customer_key")
     return (
         named.groupBy(F.col("last_name").alias("customer_name"))
         .agg(

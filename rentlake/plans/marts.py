@@ -1,7 +1,8 @@
 """The reporting views of the rental business as DataFrames.
 
 Money is summed by key as early as possible, so that joins to inventory, film,
-store and labels meet one row per key and no hot copy or store reaches them.
+store and labels meet one row per key. Those are plain joins; where many rows may
+share a key, `lookup_join` spreads them.
 """
 
 from __future__ import annotations
@@ -82,7 +83,7 @@ def film_list(
         "film_id", "title", "description", F.col("rental_rate").alias("price"), "length", "rating"
     )
     columns = ["title", "description", "category", "price", "length", "rating", *(["part"] if in_parts else []), "actors"]
-    return lookup_join(lists, films, "film_id").select(F.col("film_id").alias("FID"), *columns)
+    return lists.join(films, "film_id").select(F.col("film_id").alias("FID"), *columns)
 
 
 def film_list_capitalised(
@@ -110,9 +111,9 @@ def sales_by_store(
     country: DataFrame,
 ) -> DataFrame:
     """Money taken per store with the store's place and manager, by country and city."""
-    by_copy = _paid_by_copy(payment, rental)
     by_store = (
-        lookup_join(by_copy, inventory.select("inventory_id", "store_id"), "inventory_id")
+        _paid_by_copy(payment, rental)
+        .join(inventory.select("inventory_id", "store_id"), "inventory_id")
         .groupBy("store_id")
         .agg(F.sum("paid").alias("total_sales"))
     )
@@ -122,7 +123,7 @@ def sales_by_store(
     stores = lookup_join(store.select("store_id", "manager_staff_id", "address_id"), managers, "manager_staff_id")
     stores = lookup_join(stores, _places(address, city, country), "address_id")
     return (
-        lookup_join(by_store, stores, "store_id")
+        by_store.join(stores, "store_id")
         .orderBy("country", "city", "store_id")
         .select(F.concat("city", F.lit(","), "country").alias("store"), "manager", "total_sales")
     )
@@ -138,16 +139,17 @@ def sales_by_film_category(
 ) -> DataFrame:
     """Money taken per category, largest first; a film counts in each of its categories."""
     by_film = (
-        lookup_join(_paid_by_copy(payment, rental), inventory.select("inventory_id", "film_id"), "inventory_id")
+        _paid_by_copy(payment, rental)
+        .join(inventory.select("inventory_id", "film_id"), "inventory_id")
         .groupBy("film_id")
         .agg(F.sum("paid").alias("paid"))
     )
-    known = lookup_join(by_film, film.select("film_id"), "film_id")
-    labelled = lookup_join(known, film_category.select("film_id", "category_id"), "film_id")
+    known = by_film.join(film.select("film_id"), "film_id")
+    labelled = known.join(film_category.select("film_id", "category_id"), "film_id")
     by_category = labelled.groupBy("category_id").agg(F.sum("paid").alias("paid"))
     names = category.select("category_id", F.col("name").alias("category"))
     return (
-        lookup_join(by_category, names, "category_id")
+        by_category.join(names, "category_id")
         .groupBy("category")
         .agg(F.sum("paid").alias("total_sales"))
         .orderBy(F.desc("total_sales"), "category")
@@ -176,7 +178,7 @@ def actor_info(
         filed = salted_join(appearances, films, ["film_id"], "inner", hot_keys(appearances, "film_id"))
     titles = ordered_concat(filed, ["actor_id", "category_id"], "title", ["title", "film_id"], ", ", "titles")
     sections = (
-        lookup_join(titles, category.select("category_id", "name"), "category_id")
+        lookup_join(titles, category.select("category_id", "name"), "category_id", keys_in=film_category)
         .select("actor_id", "name", F.concat("name", F.lit(": "), "titles").alias("film_info"))
         .distinct()
     )

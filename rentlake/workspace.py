@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -19,12 +20,15 @@ def shared_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="rentlake-")
-        spark.conf.set(SETTING, root)
-        return root
+        return _local_root(spark.sparkContext.applicationId)
     raise ValueError(f"set {SETTING} to a folder shared by all executors")
 
 
+@cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix="rentlake-")
+
+
 class Workspace:
     """One fresh folder per run, so that two runs never share files or tables."""
 

@@ -12,14 +12,7 @@ SAMPLES = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    session = local_session(
-        4,
-        "tests",
-        **{
-            "spark.checkpoint.dir": f"{scratch}/shared",
-            "spark.sql.warehouse.dir": f"{scratch}/warehouse",
-        },
-    )
+    session = local_session(4, "tests", **{"spark.sql.warehouse.dir": f"{scratch}/warehouse"})
     yield session
     session.stop()
 
