@@ -56,9 +56,9 @@ _SILVER = _with(
         cast(p_retailprice as decimal(12,2)) as rental_rate, p_size as length,
         cast(p_retailprice as decimal(12,2)) as replacement_cost, p_brand as rating,
         monthname(o_orderdate) as rental_month, dayname(o_orderdate) as rental_day_name,
-        day(o_orderdate) as rental_day, year(o_orderdate) as rental_year,
+        cast(day(o_orderdate) as int) as rental_day, cast(year(o_orderdate) as int) as rental_year,
         monthname(return_date) as return_month, dayname(return_date) as return_day_name,
-        day(return_date) as return_day, year(return_date) as return_year, l_shipdate as modified_date
+        cast(day(return_date) as int) as return_day, cast(year(return_date) as int) as return_year, l_shipdate as modified_date
     from rental join customer on c_custkey = o_custkey join supplier on s_suppkey = l_suppkey
     join part on p_partkey = l_partkey""",
 )
@@ -303,8 +303,8 @@ ORACLES: dict[str, str] = {
     "stock_counts": _with(
         "line",
         f"""select p_partkey as film_id, {_STORE} as store_id,
-            case when o.l_partkey is null then 1 else 0 end as n_in_stock,
-            case when o.l_partkey is null then 0 else 1 end as n_out
+            cast(case when o.l_partkey is null then 1 else 0 end as bigint) as n_in_stock,
+            cast(case when o.l_partkey is null then 0 else 1 end as bigint) as n_out
         from part left join (select distinct l_partkey from line where return_date is null) o
             on o.l_partkey = p_partkey""",
     ),
@@ -360,7 +360,8 @@ ORACLES: dict[str, str] = {
     "preview_top5": """select o_orderkey, o_custkey, o_totalprice from orders
         order by o_totalprice desc, o_orderkey limit 5""",
     "calendar_attributes": """select distinct cast(o_orderdate as date) as "Date", monthname(o_orderdate) as "MonthName",
-        dayname(o_orderdate) as "WeekDayName", day(o_orderdate) as "Day", year(o_orderdate) as "Year" from orders""",
+        dayname(o_orderdate) as "WeekDayName", cast(day(o_orderdate) as int) as "Day",
+        cast(year(o_orderdate) as int) as "Year" from orders""",
     "capitalised_names": f"select p_partkey, {_capital('p_name')} as title from part",
     "apply_changes": _changed("p_type = 'ECONOMY' and description is not null"),
     "apply_changes_null_safe": _changed("p_type = 'ECONOMY'"),
