@@ -355,3 +355,19 @@ def linked_components(docs: DataFrame) -> DataFrame:
     alone = sets.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return grouped.unionByName(alone)
 
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` whose id is the smallest of their group, one row for an id.
+
+    Only ids of groups with several rows are looked up, and the texts are not shuffled
+    where these are few. Of rows that share an id one stays; rows without one all stay.
+    """
+    found = linked_components(docs).select("doc_id", "component_id")
+    rows = Scratch(docs.sparkSession).keep(found, "components")
+    gone = rows.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    named = rows.where("doc_id is not null")
+    if named.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        kept = kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    return kept

@@ -6,16 +6,83 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rentlake.llm import ngram_join
-from rentlake.llm.scratch import documents
+from rentlake.llm import (
+    fingerprints,
+    language_id,
+    mixing,
+    ngram_join,
+    oracles,
+    packing,
+    quality_rules,
+    secrets,
+    suffix_dedup,
+    toxicity,
+    unit_dedup,
+)
+from rentlake.llm.scratch import documents, labels
+
+
+def tokenizer_path() -> str:
+    """The vocabulary that the queries pack with; operators take its path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unit_dedup.repeated_units(documents(spark, sf_dir)).drop("row")
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir)).drop("found", "text_key")
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_components(documents(spark, sf_dir))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(documents(spark, sf_dir)).drop("spans")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer_path())
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(documents(spark, sf_dir)).drop("changed", "changed_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op2_secret_scan,
+        op3_ngram_jaccard_join,
+        op4_language_id,
+        op5_toxicity,
+        op6_suffix_dedup,
+        op7_packing,
+        op8_mixing,
+        op9_quality_rules,
+        op10_fingerprints,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES
