@@ -174,10 +174,12 @@ def _gain(bad: int, good: int, all_bad: int, all_good: int) -> float:
 
 def _counts(rows: DataFrame, thresholds: dict[str, list[float]]) -> dict[str, list[tuple[int, int]]]:
     """Per feature, (bad, good) texts in each interval between thresholds, from one aggregation."""
-    pairs = []
-    for feature, limits in thresholds.items():
-        interval = F.size(F.filter(F.array(*map(F.lit, limits)), lambda t, f=feature: t < F.col(f)))
-        pairs.append(F.struct(F.lit(feature).alias("feature"), interval.alias("interval")))
+
+    def interval(feature: str, limits: list[float]) -> Column:
+        below = F.filter(F.array(*map(F.lit, limits)), lambda t: t < F.col(feature))
+        return F.struct(F.lit(feature).alias("feature"), F.size(below).alias("interval"))
+
+    pairs = [interval(feature, limits) for feature, limits in thresholds.items()]
     table = rows.select("bad", F.explode(F.array(*pairs)).alias("s")).groupBy("s.feature", "s.interval").agg(
         F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good")
     )

@@ -84,4 +84,5 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("_cuts", lambda c: c["end"]))
     starts = F.concat(F.transform("_cuts", lambda c: c["start"]), F.array(F.length("text").cast("long")))
     kept = F.zip_with(ends, starts, lambda a, b: F.substring(F.col("text"), (a + 1).cast("int"), (b - a).cast("int")))
-    return joined.withColumn("text", F.array_join(kept, "")).select(*docs.columns)
+    whole = F.when(F.col("text").isNotNull(), F.array_join(kept, ""))
+    return joined.withColumn("text", whole).select(*docs.columns)

@@ -1,0 +1,95 @@
+import itertools
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from rentlake.llm import packing
+from tests.conftest import SAMPLES
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def check(rows, texts):
+    """Every id lies in exactly one piece, and sequences are gapless and little padded."""
+    tokenizer = Tokenizer.from_file(PATH)
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append(r)
+    assert set(by_doc) == set(texts)
+    for doc_id, text in texts.items():
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], dtype="<u4")
+        at = 0
+        for r in sorted(by_doc[doc_id], key=lambda r: r["start"]):
+            assert r["start"] == at and r["doc_tokens"] == len(ids)
+            at += r["length"]
+            assert r["ids_crc32"] == zlib.crc32(ids[r["start"] : at].tobytes())
+        assert at == len(ids)
+    lengths = []
+    for pieces in by_sequence.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r["offset"]):
+            assert r["offset"] == at and r["length"] > 0
+            at += r["length"]
+        lengths.append(at)
+    assert all(n <= 2048 and n & (n - 1) == 0 for n in lengths)
+    assert len(lengths) <= sum(lengths) // 2048 + 11
+
+
+def test_whole_sample(spark):
+    docs = spark.read.parquet(f"{SAMPLES}/documents.parquet").repartition(3)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    check(packing.pack(docs, PATH).collect(), texts)
+
+
+def test_edge_cases_and_copies(spark):
+    odd = [None, "", " ", "\n\n", "a", "It's 5 o'clock\t— ÄÖÜ ǅ İ ﬁ é  x y\x1cz", "x" * 9000, "日本語 text 😀", "same text here"]
+    rows = [(i, t, 3) for i, t in enumerate(odd)] + [(100 + i, "copy of one text " * 20, 3) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, curve int").repartition(5)
+    check(packing.pack(docs, PATH).collect(), {i: t for i, t, _ in rows})
+    repeated = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c")], "doc_id long, text string")
+    got = packing.pack(repeated, PATH).collect()
+    assert sorted((r["doc_id"] or 0, r["length"]) for r in got if r["doc_id"] is None) == [(0, 2)]
+    assert sum(r["length"] for r in got) == 3 + 3 + 2
+    assert packing.pack(docs.limit(0), PATH).collect() == []
+
+
+def test_small_memory_of_words_gives_the_same(monkeypatch):
+    texts = ["one two three", None, "two  four\nfive", "six"] * 3
+    whole = packing.Encoder(PATH).encode(texts)
+    monkeypatch.setattr(packing, "WORDS", 2)
+    encoder = packing.Encoder(PATH)
+    parts = [encoder.encode([t])[0] for t in texts]
+    assert np.array_equal(np.concatenate(parts), whole[0])
+
+
+def test_curve_visits_all_cells_next_to_each_other(monkeypatch):
+    monkeypatch.setattr(packing, "BITS", 3)
+    cells = np.array(list(itertools.product(range(8), repeat=3)))
+    keys = packing.hilbert(cells)
+    assert sorted(keys) == list(range(512))
+    path = cells[np.argsort(keys)]
+    assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+@pytest.mark.parametrize("total", [1, 2047, 2048, 2049, 5000])
+def test_cuts_cover_a_row_of_ids(total):
+    pieces = packing.piece_bounds(0, total, total)
+    assert sum(p[1] for p in pieces) == total
+    for at in (0, total // 2, total - 1):
+        alone = packing.piece_bounds(at, 1, total)
+        whole = next(p for p in pieces if p[0] <= at < p[0] + p[1])
+        assert alone == [(0, 1, whole[2], whole[3] + at - whole[0])]
+
+
+def test_neighbours_are_alike():
+    rng = np.random.default_rng(0)
+    topics = [rng.integers(0, 49000, 40) for _ in range(5)]
+    ids = [rng.choice(topics[i % 5], 300).astype(np.uint16) for i in range(100)]
+    keys = packing.curve_keys(np.concatenate(ids), np.arange(0, 30001, 300))
+    order = np.argsort(keys, kind="stable") % 5
+    assert (order[1:] == order[:-1]).mean() > 0.5

@@ -1,0 +1,81 @@
+import random
+import re
+from collections import Counter
+
+from rentlake.llm import quality_rules
+from tests.conftest import SAMPLES
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    counts = Counter(windows)
+    covered = {j for i, w in enumerate(windows) if counts[w] > 1 for j in range(i, i + 3)}
+    failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered), failed
+
+
+def texts():
+    rng = random.Random(2)
+    out = [None, "", " \n\t", "a", "a a a", "a a a a", "a b c a b c", "a b a b a b a", "x\ny\nx\n \nx", "#|<> é😀 a$ b%\x0b c\x85d", "\r\na\r\na"]
+    for _ in range(80):
+        k = rng.choice((2, 5, 40, 4000))
+        out.append("".join(f"w{rng.randrange(k)}" + rng.choice([" ", " ", "\n", "  ", " # "]) for _ in range(rng.randrange(1, 300))))
+    return out
+
+
+def test_counts_equal_brute_force(spark):
+    rows = list(enumerate(texts()))
+    docs = spark.createDataFrame([(*r, "a") for r in rows], "doc_id long, text string, words string").repartition(3)
+    got = {r["doc_id"]: r for r in quality_rules.measured(docs).collect()}
+    for i, text in rows:
+        r = got[i]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == brute(text), text
+
+
+def test_learned_list_finds_planted_faults(spark):
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(900):
+        words = [f"w{rng.randrange(5000)}" for _ in range(80)]
+        kind = i % 6
+        if kind == 0:
+            words = [w + "!" for w in words]
+        elif kind == 1:
+            words = [w.upper() + "#" for w in words]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(kind > 1)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = quality_rules.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    assert len(got) == 900
+    assert all(r["kept"] == (r["doc_id"] % 6 > 1) for r in got)
+    assert all((r["rule"] == "none") == r["kept"] for r in got)
+
+
+def test_sample_keeps_good_and_drops_bad(spark):
+    docs = spark.read.parquet(f"{SAMPLES}/documents.parquet")
+    labels = spark.read.parquet(f"{SAMPLES}/labels.parquet")
+    got = quality_rules.judge(docs, labels).join(labels, "doc_id").where("not base_failed").collect()
+    good = [r["kept"] for r in got if r["quality"]]
+    assert sum(good) >= 0.95 * len(good)
+
+
+def test_edge_cases(spark):
+    docs = spark.createDataFrame([(1, None), (1, None), (None, "a b"), (3, "w " * 60)], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    odd = spark.createDataFrame([(1, None), (None, 0), (99, 0), (3, 1), (3, 1)], "doc_id long, quality int")
+    for labels in (none, odd):
+        got = quality_rules.judge(docs, labels).collect()
+        assert len(got) == 4 and not any(r["kept"] for r in got)
+        assert quality_rules.judge(docs.limit(0), labels).collect() == []
+
+
+def test_plan_has_no_python_and_sorts_once(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    plan = quality_rules.measured(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+    assert plan.count("array_sort") + plan.count("arraysort") <= 4
