@@ -260,7 +260,8 @@ def linked_components(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = scratch.keep(texts.mapInArrow(set_rows, SETS), "sets")
     same_set = ["c1", "c2", "n_shingles"]
-    classes = sets.where("n_shingles > 0").groupBy(*same_set).agg(F.min("doc_id").alias("node"))
+    # Written, so that the join has a shuffle on either side and splits classes of very many copies.
+    classes = scratch.keep(sets.where("n_shingles > 0").groupBy(*same_set).agg(F.min("doc_id").alias("node")), "classes")
     members = scratch.keep(
         sets.select("doc_id", *same_set).join(classes, same_set).select("doc_id", "n_shingles", "node"), "members"
     )

@@ -18,9 +18,11 @@ any size is spread over ranges; further columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,44 +48,80 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+# A word of plain letters and the signs after it, which the vocabulary splits just so.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#$%&*|<>]*)")
+BREAK = "\x01"  # a sign with an id of its own that nothing merges with
+TOGETHER = 2000  # parts that are encoded in one call
+
+
 class Encoder:
-    """Ids of texts, word by word: the vocabulary's merges never cross a space or line end."""
+    """Ids of texts, word by word: the vocabulary's merges never cross a space or line end.
+
+    Each distinct word is encoded once. Words of letters are lower-cased, as the vocabulary
+    does, and parted from the signs that follow, so that fewer of them are distinct.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self.forget()
 
     def forget(self) -> None:
+        # Numbers of words; of each word the numbers of its two parts; of each part its ids.
         self.number: dict[str, int] = {}
+        self.parts: dict[str, int] = {"": 0}
+        self.pairs = np.zeros((0, 2), dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.uint16)
-        self.start = np.zeros(0, dtype=np.int64)
-        self.length = np.zeros(0, dtype=np.int64)
+        self.start = np.zeros(1, dtype=np.int64)
+        self.length = np.zeros(1, dtype=np.int64)
+
+    def ids_of(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint16)
+
+    def learn_parts(self, parts: list[str]) -> None:
+        """Encode many parts in few calls, each with a break after it; odd ones one by one."""
+        mark = self.ids_of(BREAK)[0]
+        odd = [p for p in parts if BREAK in p or "<|" in p]
+        plain = list(set(parts).difference(odd)) if odd else parts
+        found, lengths = [self.flat], [self.length]
+        for low in range(0, len(plain), TOGETHER):
+            ids = self.ids_of(f" {BREAK} ".join([*plain[low : low + TOGETHER], ""]))
+            ends = np.flatnonzero(ids == mark)
+            found.append(ids[ids != mark])
+            lengths.append(np.diff(ends, prepend=-1) - 1)
+        for part in odd:
+            found.append(self.ids_of(part))
+            lengths.append(np.array([len(found[-1])]))
+        self.parts.update(zip([*plain, *odd], range(len(self.parts), len(self.parts) + len(parts)), strict=True))
+        self.flat, self.length = np.concatenate(found), np.concatenate(lengths)
+        self.start = np.cumsum(self.length) - self.length
 
     def learn(self, words: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        length = np.array([len(x) for x in ids], dtype=np.int64)
-        start = len(self.flat) + np.cumsum(length) - length
-        self.number.update(zip(words, range(len(self.start), len(self.start) + len(words)), strict=True))
-        self.flat = np.concatenate([self.flat, np.array([i for x in ids for i in x], dtype=np.uint16)])
-        self.start, self.length = np.concatenate([self.start, start]), np.concatenate([self.length, length])
+        pairs = []
+        for word in words:
+            match = PLAIN.fullmatch(word)
+            pairs.append((match[1].lower(), match[2]) if match else (word, ""))
+        flat = list(chain.from_iterable(pairs))
+        self.learn_parts(list(set(flat).difference(self.parts)))
+        numbers = np.fromiter(map(self.parts.__getitem__, flat), dtype=np.int64, count=len(flat))
+        self.number.update(zip(words, range(len(self.pairs), len(self.pairs) + len(words)), strict=True))
+        self.pairs = np.concatenate([self.pairs, numbers.reshape(-1, 2)])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each with its closing id, and where each text begins."""
         if len(self.number) > WORDS:
             self.forget()
         lists = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = {w for ws in lists for w in ws if w not in self.number}
+        new = set().union(*lists).difference(self.number)
         if new:
-            self.learn(sorted(new))
-        number = self.number
-        words = np.fromiter((number[w] for ws in lists for w in ws), dtype=np.int64)
-        length = self.length[words]
+            self.learn(list(new))
+        words = np.fromiter(map(self.number.__getitem__, chain.from_iterable(lists)), dtype=np.int64)
+        parts = self.pairs[words].ravel()
+        length = self.length[parts]
         ends = np.cumsum(length)
-        source = np.repeat(self.start[words] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
-        ids = self.flat[source]
-        last_word = np.cumsum([len(ws) for ws in lists]) - 1
-        stops = ends[last_word]
-        ids = np.insert(ids, stops, np.uint16(CLOSING))
+        source = np.repeat(self.start[parts] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
+        last_part = 2 * np.cumsum([len(ws) for ws in lists]) - 1
+        stops = ends[last_part]
+        ids = np.insert(self.flat[source], stops, np.uint16(CLOSING))
         return ids, np.concatenate(([0], stops + np.arange(1, len(texts) + 1)))
 
 

@@ -338,8 +338,10 @@ def repeated_ranges(texts: DataFrame, scratch: Scratch, length: int, core: int)
         .where("n > 1")
         .select("anchor", (F.col("low") < F.col("high")).alias("several"))
     )
+    # Written, so that the join has a shuffle on either side and splits anchors of very many texts.
+    again = scratch.keep(again, "again")
     shared = scratch.keep(anchors.join(again, "anchor"), "shared")
-    scratch.clear("anchors")
+    scratch.clear("anchors", "again")
     by_context = shared.groupBy("anchor", "context").agg(
         F.count("*").alias("n"),
         F.max("several").alias("several"),
