@@ -1,7 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
 A paragraph is a line; a long line is cut at the first sentence end after UNIT code
-points. Its digest is a hash of its words. A sketch has three rows of cells. Every
+points. Its digest is a hash of it without space around. A sketch has three rows of cells. Every
 distinct digest is added to one cell of each row, which keeps a count, the exclusive or
 of its digests and that of their check hashes. The difference of two sketches holds the
 digests of one text only. A cell with a single one gives it away; once that is taken out
@@ -9,8 +9,8 @@ of its other cells, more become single, until all differing digests are recovere
 
 The fingerprint of a text is its sketch of CELLS cells a row. Where peeling the
 difference of two fingerprints fails, it is done again, larger: the digests of both texts
-are dealt by hash to as many sketches as their number needs, each peeled alone, and to
-four times as many if that fails. What fails even then is compared digest by digest. The
+are dealt by hash to as many sketches as their number needs, each peeled alone; one that
+fails is dealt to four more. What fails even then is compared digest by digest. The
 likeness of two texts is the number of shared digests over that of all.
 
 Only DataFrame functions are used, and the texts are shuffled once: dealt by ranges of
@@ -27,19 +27,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-CELLS = 8  # in each of three rows
-PER_SKETCH = 6  # digests of both texts that a sketch is sized for when it is one of many
+CELLS = 16  # in each of the three rows of a fingerprint
+FEWER = 8  # in each row of a sketch that is one of many
+PER_SKETCH = 8  # digests of both texts that such a sketch is sized for
 ROUNDS = 8  # of peeling
 UNIT = 200
 PARAGRAPH = rf"[^\n]{{1,{UNIT}}}(?:[^\n.!?]*[.!?]+)?"
-SPACES = r"[\x20\x09-\x0D]+"
+SPACES = " \t\r\x0b\x0c"
 RANGES = 4  # ranges of ids for each shuffle partition
 
 
 def digests(text: Column) -> Column:
     """The distinct digests of a text's paragraphs; blank ones have none."""
     plain = F.transform(
-        F.regexp_extract_all(text, F.lit(PARAGRAPH), F.lit(0)), lambda p: F.trim(F.regexp_replace(p, SPACES, " "))
+        F.regexp_extract_all(text, F.lit(PARAGRAPH), F.lit(0)), lambda p: F.btrim(p, F.lit(SPACES))
     )
     return F.array_distinct(F.transform(F.filter(plain, lambda p: p != ""), lambda p: F.xxhash64(p)))
 
@@ -48,8 +49,8 @@ def _check(digest: Column) -> Column:
     return F.xxhash64(digest, F.lit(1)).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def _cell(digest: Column, row: int) -> Column:
-    return F.shiftrightunsigned(digest, 8 * row).bitwiseAND(F.lit(CELLS - 1))
+def _cell(digest: Column, row: int, cells: int) -> Column:
+    return F.shiftrightunsigned(digest, 8 * row).bitwiseAND(F.lit(cells - 1))
 
 
 def _bind(value: Column, use) -> Column:
@@ -57,12 +58,12 @@ def _bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def sketch(found: Column) -> Column:
+def sketch(found: Column, cells: int = CELLS) -> Column:
     """Three rows of cells (n, key, check) of an array of distinct digests."""
 
     def cell(row: int, j: int) -> Column:
         return _bind(
-            F.filter(found, lambda d: _cell(d, row) == j),
+            F.filter(found, lambda d: _cell(d, row, cells) == j),
             lambda own: F.struct(
                 F.size(own).cast("long").alias("n"),
                 F.aggregate(own, F.lit(0).cast("long"), lambda a, d: a.bitwiseXOR(d)).alias("key"),
@@ -70,7 +71,7 @@ def sketch(found: Column) -> Column:
             ),
         )
 
-    return F.array(*(cell(row, j) for row in range(3) for j in range(CELLS)))
+    return F.array(*(cell(row, j) for row in range(3) for j in range(cells)))
 
 
 def minus(a: Column, b: Column) -> Column:
@@ -85,92 +86,115 @@ def minus(a: Column, b: Column) -> Column:
     )
 
 
-def peel(cells: Column) -> Column:
+def peel(difference: Column, cells: int = CELLS) -> Column:
     """(mine, others, whole): the digests on either side, and whether nothing is left in the cells."""
     none = F.array().cast("array<bigint>")
+    names = [f"row{r}" for r in range(3)]
 
     def taken_out(state: Column, singles: Column) -> Column:
-        def less(c: Column, j: Column) -> Column:
-            row, own = F.floor(j / CELLS), j % CELLS
-            position = F.when(row == 0, F.lit(0)).when(row == 1, F.lit(8)).otherwise(F.lit(16))
-            here = F.filter(
-                singles, lambda s: _shifted(s["key"], position).bitwiseAND(F.lit(CELLS - 1)) == own
-            )
-            return F.aggregate(
-                here,
-                c,
-                lambda a, s: F.struct(
-                    (a["n"] - s["n"]).alias("n"),
-                    a["key"].bitwiseXOR(s["key"]).alias("key"),
-                    a["check"].bitwiseXOR(_check(s["key"])).alias("check"),
-                ),
-            )
+        def less(row: int):
+            def cell(c: Column, j: Column) -> Column:
+                return F.aggregate(
+                    F.filter(singles, lambda s: _cell(s["key"], row, cells) == j),
+                    c,
+                    lambda a, s: F.struct(
+                        (a["n"] - s["n"]).alias("n"),
+                        a["key"].bitwiseXOR(s["key"]).alias("key"),
+                        a["check"].bitwiseXOR(_check(s["key"])).alias("check"),
+                    ),
+                )
+
+            return cell
 
         def keys(sign: int) -> Column:
             return F.transform(F.filter(singles, lambda s: s["n"] == sign), lambda s: s["key"])
 
         return F.struct(
-            F.transform(state["cells"], less).alias("cells"),
+            *(F.transform(state[name], less(row)).alias(name) for row, name in enumerate(names)),
             F.concat(state["mine"], keys(1)).alias("mine"),
             F.concat(state["others"], keys(-1)).alias("others"),
         )
 
     def singles(state: Column) -> Column:
-        single = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"])))
-        return F.array_distinct(F.transform(single, lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key"))))
+        rows = (F.filter(state[n], lambda c: (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"]))) for n in names)
+        return F.array_distinct(
+            F.transform(F.concat(*rows), lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key")))
+        )
+
+    def empty(row: Column) -> Column:
+        return F.forall(row, lambda c: (c["n"] == 0) & (c["key"] == 0) & (c["check"] == 0))
 
-    start = F.struct(cells.alias("cells"), none.alias("mine"), none.alias("others"))
-    rounds = F.sequence(F.lit(1), F.lit(ROUNDS))
+    start = _bind(
+        difference,
+        lambda c: F.struct(
+            *(F.slice(c, 1 + cells * row, cells).alias(name) for row, name in enumerate(names)),
+            none.alias("mine"),
+            none.alias("others"),
+        ),
+    )
     return F.aggregate(
-        rounds,
+        F.sequence(F.lit(1), F.lit(ROUNDS)),
         start,
         lambda state, _: _bind(singles(state), lambda s: F.when(F.size(s) == 0, state).otherwise(taken_out(state, s))),
         lambda state: F.struct(
             state["mine"].alias("mine"),
             state["others"].alias("others"),
-            F.forall(state["cells"], lambda c: (c["n"] == 0) & (c["key"] == 0) & (c["check"] == 0)).alias("whole"),
+            (empty(state["row0"]) & empty(state["row1"]) & empty(state["row2"])).alias("whole"),
+        ),
+    )
+
+
+def _dealt(found: Column, sketches: Column | int, k: Column, salt: int) -> Column:
+    return F.filter(found, lambda d: F.pmod(F.xxhash64(d, F.lit(salt)), sketches) == k)
+
+
+def _joined(parts: Column) -> Column:
+    return _bind(
+        parts,
+        lambda every: F.struct(
+            F.flatten(F.transform(every, lambda p: p["mine"])).alias("mine"),
+            F.flatten(F.transform(every, lambda p: p["others"])).alias("others"),
         ),
     )
 
 
-def _shifted(key: Column, bits: Column) -> Column:
-    return F.call_function("shiftrightunsigned", key, bits.cast("int"))
+def _exact(a: Column, b: Column) -> Column:
+    return F.struct(F.array_except(a, b).alias("mine"), F.array_except(b, a).alias("others"))
 
 
-def _many(a: Column, b: Column, sketches: Column, salt: int) -> Column:
-    """The same result from as many sketches as asked for, to which digests are dealt by hash."""
+def _many(a: Column, b: Column, sketches: Column, salt: int, otherwise) -> Column:
+    """(mine, others) from as many sketches as asked for, to which digests are dealt by hash;
+    `otherwise` has the digests of a sketch that cannot be peeled."""
 
-    def dealt(found: Column, k: Column) -> Column:
-        return F.filter(found, lambda d: F.pmod(F.xxhash64(d, F.lit(salt)), sketches) == k)
+    def solved(pair: Column) -> Column:
+        peeled = peel(minus(sketch(pair["a"], FEWER), sketch(pair["b"], FEWER)), FEWER)
+        return _bind(
+            peeled,
+            lambda r: F.when(r["whole"], F.struct(r["mine"].alias("mine"), r["others"].alias("others"))).otherwise(
+                otherwise(pair["a"], pair["b"])
+            ),
+        )
 
     pairs = F.transform(
         F.sequence(F.lit(0).cast("long"), sketches - 1),
-        lambda k: F.struct(dealt(a, k).alias("a"), dealt(b, k).alias("b")),
-    )
-    peeled = F.transform(pairs, lambda p: peel(minus(sketch(p["a"]), sketch(p["b"]))))
-    return _bind(
-        peeled,
-        lambda parts: F.struct(
-            F.flatten(F.transform(parts, lambda p: p["mine"])).alias("mine"),
-            F.flatten(F.transform(parts, lambda p: p["others"])).alias("others"),
-            F.forall(parts, lambda p: p["whole"]).alias("whole"),
-        ),
+        lambda k: F.struct(_dealt(a, sketches, k, salt).alias("a"), _dealt(b, sketches, k, salt).alias("b")),
     )
+    return _joined(F.transform(pairs, solved))
 
 
 def with_difference(rows: DataFrame, a: str, b: str, sketch_a: str, sketch_b: str, name: str) -> DataFrame:
-    """`rows` and column `name` (mine, others, whole): the digests of `a` that `b` lacks, and the other way."""
-    size = F.size(a) + F.size(b)
-    needed = F.greatest(F.ceil(size / PER_SKETCH), F.lit(2)).cast("long")
-    exact = F.struct(
-        F.array_except(a, b).alias("mine"), F.array_except(b, a).alias("others"), F.lit(True).alias("whole")
-    )
+    """`rows` and column `name` (mine, others): the digests of `a` that `b` lacks, and the other way."""
+    needed = F.greatest(F.ceil((F.size(a) + F.size(b)) / PER_SKETCH), F.lit(2)).cast("long")
+
+    def larger(x: Column, y: Column) -> Column:
+        return _many(x, y, F.lit(4).cast("long"), 2, _exact)
+
     done = F.col(name)
-    return (
-        rows.withColumn(name, peel(minus(F.col(sketch_a), F.col(sketch_b))))
-        .withColumn(name, F.when(done["whole"], done).otherwise(_many(F.col(a), F.col(b), needed, 1)))
-        .withColumn(name, F.when(done["whole"], done).otherwise(_many(F.col(a), F.col(b), 4 * needed, 2)))
-        .withColumn(name, F.when(done["whole"], done).otherwise(exact))
+    return rows.withColumn(name, peel(minus(F.col(sketch_a), F.col(sketch_b)))).withColumn(
+        name,
+        F.when(done["whole"], F.struct(done["mine"].alias("mine"), done["others"].alias("others"))).otherwise(
+            _many(F.col(a), F.col(b), needed, 1, larger)
+        ),
     )
 
 
