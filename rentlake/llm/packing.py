@@ -37,7 +37,7 @@ CLOSING = 1
 VECTOR = 256
 DIMENSIONS = 3
 BITS = 12
-WORDS = 500_000  # distinct words a task remembers before it starts anew
+WORDS = 1_000_000  # distinct words a worker remembers before it starts anew
 ROWS = 500
 
 
@@ -54,6 +54,18 @@ BREAK = "\x01"  # a sign with an id of its own that nothing merges with
 TOGETHER = 2000  # parts that are encoded in one call
 
 
+class Numbers(dict):
+    """Numbers for words in the order in which they are first asked for; `new` has the latest."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class Encoder:
     """Ids of texts, word by word: the vocabulary's merges never cross a space or line end.
 
@@ -67,7 +79,7 @@ class Encoder:
 
     def forget(self) -> None:
         # Numbers of words; of each word the numbers of its two parts; of each part its ids.
-        self.number: dict[str, int] = {}
+        self.number = Numbers()
         self.parts: dict[str, int] = {"": 0}
         self.pairs = np.zeros((0, 2), dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.uint16)
@@ -103,7 +115,6 @@ class Encoder:
         flat = list(chain.from_iterable(pairs))
         self.learn_parts(list(set(flat).difference(self.parts)))
         numbers = np.fromiter(map(self.parts.__getitem__, flat), dtype=np.int64, count=len(flat))
-        self.number.update(zip(words, range(len(self.pairs), len(self.pairs) + len(words)), strict=True))
         self.pairs = np.concatenate([self.pairs, numbers.reshape(-1, 2)])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -111,10 +122,10 @@ class Encoder:
         if len(self.number) > WORDS:
             self.forget()
         lists = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*lists).difference(self.number)
-        if new:
-            self.learn(list(new))
         words = np.fromiter(map(self.number.__getitem__, chain.from_iterable(lists)), dtype=np.int64)
+        if self.number.new:
+            self.learn(self.number.new)
+            self.number.new = []
         parts = self.pairs[words].ravel()
         length = self.length[parts]
         ends = np.cumsum(length)
@@ -169,13 +180,19 @@ def hilbert(cells: np.ndarray) -> np.ndarray:
     return key
 
 
+@cache
+def encoder(path: str) -> Encoder:
+    """The encoder of this worker, which goes on with the words of its earlier tasks."""
+    return Encoder(path)
+
+
 def tokens(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        own = encoder(path)
         for batch in batches:
             for low in range(0, batch.num_rows, ROWS):
                 part = batch.slice(low, ROWS)
-                ids, begins = encoder.encode(part.column("text").to_pylist())
+                ids, begins = own.encode(part.column("text").to_pylist())
                 parts = [ids[a:b].tobytes() for a, b in zip(begins[:-1], begins[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
