@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rentlake.workspace import Workspace
+
 
 def full_name(first: Column | str, last: Column | str) -> Column:
     """`first last`; NULL if either part is NULL."""
@@ -27,8 +29,15 @@ def ordered_parts(
     Rows are range-partitioned on (keys, by), so a group that holds a large share
     of all rows spreads over many tasks instead of one. The pieces of a group,
     taken in `part` order, are its whole list; no piece outgrows a partition.
+
+    The rows are written first: range-partitioning reads its input twice, and must not
+    run what comes before it twice.
     """
-    placed = df.repartitionByRange(*keys, *by).withColumn("part", F.spark_partition_id())
+    spark, path = df.sparkSession, Workspace(df.sparkSession).path("list_rows")
+    rows = df.select(*dict.fromkeys([*keys, item, *by]))
+    rows.write.parquet(path)
+    placed = spark.read.schema(rows.schema).parquet(path)
+    placed = placed.repartitionByRange(*keys, *by).withColumn("part", F.spark_partition_id())
     return placed.groupBy(*keys, "part").agg(_listed(item, by, separator).alias(alias))
 
 
@@ -37,13 +46,11 @@ def ordered_concat(
 ) -> DataFrame:
     """Every group's values, sorted by `by` and joined into one text: keys, `alias`.
 
-    NULL values are left out; a group of only NULLs gives NULL. Sorting happens
-    per piece; the last step only strings finished pieces together. A text is one
-    cell and so limited to 2 GB by Spark; lists beyond that are read as
-    `ordered_parts`.
+    NULL values are left out; a group of only NULLs gives NULL. One shuffle on the keys.
+    A text is one cell and so limited to 2 GB by Spark, which also bounds what its task
+    sorts; longer lists are read as `ordered_parts`.
     """
-    parts = ordered_parts(df, keys, item, by, separator, alias)
-    return parts.groupBy(*keys).agg(_listed(alias, ["part"], separator).alias(alias))
+    return df.groupBy(*keys).agg(_listed(item, by, separator).alias(alias))
 
 
 def _listed(item: str, by: Sequence[str], separator: str) -> Column:

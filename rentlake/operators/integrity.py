@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -21,6 +22,16 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counts.where(F.col("n_rows") > 1)
 
 
+def primary_key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Key values that are not unique or have a NULL part, with their row count.
+
+    A primary key, other than a unique one, allows no NULL: such a value counts even if
+    it stands once.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.where((F.col("n_rows") > 1) | _any([F.col(k).isNull() for k in keys]))
+
+
 def null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows with a NULL in a required column, and the names of those columns."""
     missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]))
@@ -84,14 +95,16 @@ def is_outside_domain(column: str, allowed: Sequence) -> Column:
 
 def is_outside_set(column: str, allowed: Sequence[str], separator: str = ",") -> Column:
     """True where a separated list has a member that is not one of `allowed`."""
-    members = F.split(F.col(column), separator, -1)
+    # The separator is a text, not a pattern.
+    members = F.split(F.col(column), re.escape(separator), -1)
     unknown = F.array_except(members, F.array(*[F.lit(a) for a in allowed]))
     return F.coalesce((F.size(unknown) > 0) & (F.col(column) != ""), F.lit(False))
 
 
 def is_outside_range(column: str, low, high) -> Column:
-    """True where a number is set and below `low` or above `high`."""
-    return F.coalesce(~F.col(column).between(low, high), F.lit(False))
+    """True where a value is set that is no number from `low` to `high`."""
+    number = F.col(column).try_cast("decimal(38,6)")
+    return F.col(column).isNotNull() & F.coalesce(~number.between(low, high), F.lit(True))
 
 
 def is_too_long(column: str, limit: int) -> Column:
@@ -118,29 +131,40 @@ def several_open_rentals(rental: DataFrame) -> DataFrame:
 
 
 def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every declared rule that applies to the given tables, with its violation count.
+    """Every declared rule with its violation count; NULL where a table or column is not given.
 
     Rules on single rows are counted in one pass per table; key rules take one
-    combined count, references one anti join each. A reference is checked when
-    both tables are given, any rule when its columns exist.
+    combined count, references one anti join each.
     """
-    found = [_row_rules(name, df) for name, df in tables.items() if name in schemas.SOURCE_TABLES]
-    for name, df in tables.items():
-        keys = [("PRIMARY KEY", schemas.PRIMARY_KEYS.get(name))]
+    found = []
+    for name in schemas.SOURCE_TABLES:
+        df = tables.get(name)
+        found.append(_row_rules(name, df))
+        keys = [("PRIMARY KEY", schemas.PRIMARY_KEYS[name])]
         keys += [("UNIQUE", key) for key in schemas.UNIQUE_KEYS.get(name, [])]
         for kind, key in keys:
-            if key and set(key) <= set(df.columns):
-                found.append(_counted(duplicate_keys(df, key), name, kind, ",".join(key)))
+            check = primary_key_violations if kind == "PRIMARY KEY" else duplicate_keys
+            given = df is not None and set(key) <= set(df.columns)
+            found.append(_counted(check(df, key) if given else None, name, kind, ",".join(key)))
     for child, fk, parent, pk, _ in schemas.FOREIGN_KEYS:
-        if child in tables and parent in tables and fk in tables[child].columns:
-            broken = orphans(tables[child].select(fk), fk, tables[parent], pk)
-            found.append(_counted(broken, child, "FOREIGN KEY", f"{fk}->{parent}.{pk}"))
-    if "rental" in tables:
-        found.append(_counted(several_open_rentals(tables["rental"]), "rental", "ONE OPEN RENTAL", "inventory_id"))
-    return reduce(DataFrame.unionByName, [f for f in found if f is not None])
-
-
-def _counted(broken: DataFrame, table: str, kind: str, columns: str) -> DataFrame:
+        given = child in tables and parent in tables and fk in tables[child].columns and pk in tables[parent].columns
+        broken = orphans(tables[child].select(fk), fk, tables[parent], pk) if given else None
+        found.append(_counted(broken, child, "FOREIGN KEY", f"{fk}->{parent}.{pk}"))
+    rental = tables.get("rental")
+    open_twice = None if rental is None else several_open_rentals(rental)
+    found.append(_counted(open_twice, "rental", "ONE OPEN RENTAL", "inventory_id"))
+    spark = next(iter(tables.values())).sparkSession
+    unchecked = [row for row in found if isinstance(row, list)]
+    report = [row for row in found if isinstance(row, DataFrame)]
+    schema = "table_name STRING, rule STRING, columns STRING, n_violations BIGINT"
+    if unchecked:
+        report.append(spark.createDataFrame([(*rule, None) for rules in unchecked for rule in rules], schema))
+    return reduce(DataFrame.unionByName, report)
+
+
+def _counted(broken: DataFrame | None, table: str, kind: str, columns: str) -> DataFrame | list[tuple]:
+    if broken is None:
+        return [(table, kind, columns)]
     return broken.agg(
         F.lit(table).alias("table_name"),
         F.lit(kind).alias("rule"),
@@ -149,25 +173,33 @@ def _counted(broken: DataFrame, table: str, kind: str, columns: str) -> DataFram
     )
 
 
-def _row_rules(table: str, df: DataFrame) -> DataFrame | None:
+def declared_row_rules(table: str) -> list[tuple[str, str, Column]]:
+    """Kind, column and violation of every declared rule on single rows of a table."""
     rules = [("NOT NULL", c, F.col(c).isNull()) for c in schemas.required_columns(table)]
     rules += [("DOMAIN", c, is_outside_domain(c, v)) for c, v in schemas.DOMAINS.get(table, {}).items()]
     rules += [("SET", c, is_outside_set(c, v)) for c, v in schemas.SET_DOMAINS.get(table, {}).items()]
     rules += [("LENGTH", c, is_too_long(c, n)) for c, n in schemas.LENGTHS.get(table, {}).items()]
     rules += [("RANGE", c, is_outside_range(c, *r)) for c, r in schemas.RANGES.get(table, {}).items()]
     rules += [("DECIMAL", c, is_not_decimal(c, *d)) for c, d in schemas.DECIMALS.get(table, {}).items()]
-    rules = [rule for rule in rules if rule[1] in df.columns]
-    if not rules:
-        return None
-    totals = df.agg(*[F.count_if(broken).alias(f"r{i}") for i, (_, _, broken) in enumerate(rules)])
+    return rules
+
+
+def _row_rules(table: str, df: DataFrame | None) -> DataFrame | list[tuple]:
+    rules = declared_row_rules(table)
+    columns = set() if df is None else set(df.columns)
+    checked = [rule for rule in rules if rule[1] in columns]
+    if not checked:
+        return [(table, kind, column) for kind, column, _ in rules]
+    totals = df.agg(*[F.count_if(broken).alias(f"r{i}") for i, (_, _, broken) in enumerate(checked)])
+    number = {rule[:2]: F.col(f"r{i}") for i, rule in enumerate(checked)}
     rows = [
         F.struct(
             F.lit(table).alias("table_name"),
             F.lit(kind).alias("rule"),
             F.lit(column).alias("columns"),
-            F.col(f"r{i}").alias("n_violations"),
+            number.get((kind, column), F.lit(None).cast("bigint")).alias("n_violations"),
         )
-        for i, (kind, column, _) in enumerate(rules)
+        for kind, column, _ in rules
     ]
     return totals.select(F.inline(F.array(*rows)))
 

@@ -4,43 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-HOT_KEYS = 256
 SPLITTABLE = ("inner", "left", "left_outer", "left_semi", "left_anti")
+ADAPTIVE = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+ADAPTIVE_STREAMS = "spark.sql.adaptive.streaming.stateless.enabled"
 
 
 def skew_join_on(spark: SparkSession) -> bool:
     """Does this session split skewed join partitions by itself?"""
-    return all(
-        spark.conf.get(key, "true") == "true"
-        for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
-    )
+    return all(spark.conf.get(key, "true") == "true" for key in ADAPTIVE)
 
 
-def hot_keys(df: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """The most frequent key values, at most HOT_KEYS rows whatever the input.
+def require_adaptive_streams(spark: SparkSession) -> None:
+    """Refuse a stream join in a session that would leave its hot keys in one task."""
+    for key in (*ADAPTIVE, ADAPTIVE_STREAMS):
+        try:
+            on = spark.conf.get(key) == "true"
+        except PySparkException:  # a version that does not know the setting
+            on = False
+        if not on:
+            raise ValueError(f"set {key} to true: stream joins count on it to split hot keys")
 
-    Counts are combined before the shuffle and only the key columns are read.
-    Keys that are not listed are simply joined without a salt.
-    """
-    keys = [on] if isinstance(on, str) else list(on)
-    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.orderBy(F.desc("_n"), *keys).limit(HOT_KEYS).select(*keys)
 
+def partitions_of(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
-def is_small(df: DataFrame) -> bool:
-    """Does Catalyst expect `df` to stay below the session's broadcast threshold?
 
-    Such a side is broadcast, so the other side is not shuffled and no key of it can
-    be hot. Without access to the estimate (a remote session) the answer is no.
+def hot_keys(df: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """The key values that hold more than one in P of the rows, P being the shuffle partitions.
+
+    A smaller key is no larger than an even partition. There are fewer than P such keys
+    whatever the input. Counts are combined before the shuffle and only the key columns
+    are read.
     """
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return False
-    threshold = plan.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
-    return plan.queryExecution().optimizedPlan().stats().sizeInBytes() <= threshold
+    keys = [on] if isinstance(on, str) else list(on)
+    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    return counts.where(F.col("_n") * partitions_of(df.sparkSession) > total).select(*keys)
 
 
 def lookup_join(
@@ -52,35 +55,38 @@ def lookup_join(
 ) -> DataFrame:
     """Join `fact` to `dim` on equally named columns.
 
-    * `dim` below the session's broadcast threshold: Catalyst, or adaptive
-      execution from the measured size, broadcasts it; nothing is hinted here.
-    * otherwise a shuffle join, whose skewed partitions adaptive execution splits;
-    * in a session without adaptive skew handling: hot (and NULL) keys are salted over
-      all shuffle partitions. They are counted in `keys_in`, the stored table from
+    * Catalyst, or adaptive execution from the measured size, broadcasts a `dim` below the
+      session's threshold; nothing is hinted here. The skewed partitions of a shuffle join
+      are split by adaptive execution;
+    * a stream is refused where the session does not do so for streams;
+    * a batch join in a session without adaptive skew handling salts hot (and NULL) keys
+      over all shuffle partitions. They are counted in `keys_in`, the stored table from
       which the keys of `fact` come, so that earlier joins are not run twice.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in SPLITTABLE:
         raise ValueError(f"cannot spread hot keys of a {how} join")
-    if fact.isStreaming or skew_join_on(fact.sparkSession) or is_small(dim):
-        joined = fact.join(dim, keys, how)
-        # A semi or anti join gives the rows of `fact` as they were, not the keys first.
-        return joined.select(*fact.columns) if how in ("left_semi", "left_anti") else joined
-    return salted_join(fact, dim, keys, how, hot_keys(fact if keys_in is None else keys_in, keys))
+    if fact.isStreaming:
+        require_adaptive_streams(fact.sparkSession)
+    elif not skew_join_on(fact.sparkSession):
+        return salted_join(fact, dim, keys, how, hot_keys(fact if keys_in is None else keys_in, keys))
+    joined = fact.join(dim, keys, how)
+    # A semi or anti join gives the rows of `fact` as they were, not the keys first.
+    return joined.select(*fact.columns) if how in ("left_semi", "left_anti") else joined
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str, hot: DataFrame) -> DataFrame:
     """Shuffle join that deals the rows of each hot key of `fact` to all partitions.
 
-    The matching `dim` rows are copied once per shuffle partition. `hot` has at
-    most HOT_KEYS rows (see `hot_keys`), which makes its broadcast safe. The salt
-    mixes the row's hash with its map task, so identical copies spread too, and a
-    retried task salts its rows alike.
+    The matching `dim` rows are copied once per shuffle partition. `hot` comes from
+    `hot_keys` and has fewer rows than there are shuffle partitions, which makes its
+    broadcast safe. The salt mixes the row's hash with its map task, so identical copies
+    spread too, and a retried task salts its rows alike.
     """
     if how not in SPLITTABLE:
         raise ValueError(f"cannot spread hot keys of a {how} join")
-    salts = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    flags = F.broadcast(hot.select(*keys).limit(HOT_KEYS).distinct().withColumn("_hot", F.lit(True)))
+    salts = partitions_of(fact.sparkSession)
+    flags = F.broadcast(hot.select(*keys).distinct().withColumn("_hot", F.lit(True)))
     unmatchable = F.lit(False)
     for key in keys:
         unmatchable = unmatchable | F.col(key).isNull()

@@ -1,14 +1,17 @@
 """The sample star schema seen as rental tables.
 
 customer = customer, film = part, staff = actor = supplier, store = nation,
-city = nation, country = region, payment = order, rental = order line. There is one
-copy per film; a film is filed under its type and its brand.
+city = nation, country = language = region, rental = payment = order line. A copy is a
+part of one supplier, kept in the supplier's nation, so a film has many copies in many
+stores. A rental is known by its line, and paid with the price of that line. A film is
+filed under its type and its brand.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rentlake.functions import calendar
 from rentlake.operators.joins import lookup_join
@@ -81,6 +84,21 @@ class RentalData:
             (F.col("c_acctbal") > 0).alias("active"),
         )
 
+    @property
+    def customer_table(self) -> DataFrame:
+        """Customers with the day of their first order, where they have one."""
+        first = self.raw("orders").groupBy(F.col("o_custkey").alias("customer_id")).agg(F.min("o_orderdate").alias("create_date"))
+        return self.customer.join(first, "customer_id", "left")
+
+    @property
+    def source_tables(self) -> dict[str, DataFrame]:
+        """All tables with declared rules."""
+        names = (
+            "actor address category city country film film_actor film_category film_text inventory language "
+            "payment rental staff store"
+        )
+        return {**{name: getattr(self, name) for name in names.split()}, "customer": self.customer_table}
+
     @property
     def staff(self) -> DataFrame:
         return self.raw("supplier").select(
@@ -97,19 +115,26 @@ class RentalData:
     def actor(self) -> DataFrame:
         return self.staff.select(F.col("staff_id").alias("actor_id"), F.upper("first_name").alias("first_name"), "last_name")
 
+    @property
+    def language(self) -> DataFrame:
+        return self.raw("region").select(F.col("r_regionkey").alias("language_id"), F.col("r_name").alias("name"))
+
     @property
     def film(self) -> DataFrame:
-        price = F.col("p_retailprice").cast(MONEY)
+        price, size = F.col("p_retailprice").cast(MONEY), F.col("p_size")
         return self.raw("part").select(
             F.col("p_partkey").alias("film_id"),
             F.col("p_name").alias("title"),
             F.concat("p_brand", F.lit(" "), "p_type").alias("description"),
-            (F.col("p_size") + 1970).alias("release_year"),
-            F.col("p_size").alias("rental_duration"),
+            (size + 1970).alias("release_year"),
+            (size % 5).alias("language_id"),
+            F.when(size % 3 == 0, size % 7).alias("original_language_id"),
+            size.alias("rental_duration"),
             price.alias("rental_rate"),
-            F.col("p_size").alias("length"),
+            size.alias("length"),
             price.alias("replacement_cost"),
             F.col("p_brand").alias("rating"),
+            F.when(size % 2 == 0, "Trailers,Commentaries").when(size % 3 == 0, "Trailers,Bloopers").alias("special_features"),
         )
 
     @property
@@ -128,20 +153,29 @@ class RentalData:
 
     @property
     def inventory(self) -> DataFrame:
-        """One copy per film; the store is the nation numbered like the brand."""
-        return self.raw("part").select(
-            F.col("p_partkey").alias("inventory_id"),
-            F.col("p_partkey").alias("film_id"),
-            (_word(F.col("p_brand"), 2).cast("int") - 1).alias("store_id"),
+        """One copy per part and supplier, in the store of the supplier's nation."""
+        copies = self.raw("lineitem").select("l_partkey", "l_suppkey").distinct()
+        homes = self.raw("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("store_id"))
+        return lookup_join(copies, homes, "l_suppkey").select(
+            _copy_id().alias("inventory_id"), F.col("l_partkey").alias("film_id"), "store_id"
         )
 
     @property
     def payment(self) -> DataFrame:
-        return self.raw("orders").select(
-            F.col("o_orderkey").alias("payment_id"),
+        """One payment per rental: the price of its line, on the day of its order."""
+        paid = self.raw("lineitem").select(
+            F.col("l_orderkey").alias("o_orderkey"),
+            _rental_id().alias("rental_id"),
+            F.col("l_suppkey").alias("staff_id"),
+            F.col("l_extendedprice").cast(MONEY).alias("amount"),
+        )
+        heads = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        return lookup_join(paid, heads, "o_orderkey").select(
+            F.col("rental_id").alias("payment_id"),
             F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderkey").alias("rental_id"),
-            F.col("o_totalprice").cast(MONEY).alias("amount"),
+            "staff_id",
+            "rental_id",
+            "amount",
             F.col("o_orderdate").alias("payment_date"),
         )
 
@@ -154,9 +188,9 @@ class RentalData:
             & (F.col("l_shipdate") > F.lit(STILL_OUT_AFTER).cast("timestamp_ntz"))
         )
         return self.raw("lineitem").select(
-            F.col("l_orderkey").alias("rental_id"),
-            F.col("l_linenumber").alias("line"),
-            F.col("l_partkey").alias("inventory_id"),
+            _rental_id().alias("rental_id"),
+            F.col("l_orderkey").alias("order_id"),
+            _copy_id().alias("inventory_id"),
             F.col("l_suppkey").alias("staff_id"),
             F.when(~out, F.col("l_shipdate")).alias("return_date"),
             F.col("l_shipdate").alias("modified_date"),
@@ -166,11 +200,11 @@ class RentalData:
     def rental(self) -> DataFrame:
         """Rental lines with the customer and date of their order."""
         heads = self.raw("orders").select(
-            F.col("o_orderkey").alias("rental_id"),
+            F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").alias("rental_date"),
         )
-        return lookup_join(self.rental_lines, heads, "rental_id")
+        return lookup_join(self.rental_lines, heads, "order_id").drop("order_id")
 
     @property
     def dates(self) -> DataFrame:
@@ -196,7 +230,11 @@ class RentalData:
 
     @property
     def dim_inventory(self) -> DataFrame:
-        return self.film.drop("description").withColumnRenamed("film_id", "inventory_key")
+        films = self.film.select(
+            "film_id", "title", "release_year", "rental_duration", "rental_rate", "length", "replacement_cost", "rating"
+        )
+        copies = self.inventory.select(F.col("inventory_id").alias("inventory_key"), "film_id")
+        return lookup_join(copies, films, "film_id").drop("film_id")
 
     @property
     def dims(self) -> dict[str, DataFrame]:
@@ -211,11 +249,12 @@ class RentalData:
     @property
     def facts(self) -> DataFrame:
         """Rentals in the layout of the raw files."""
-        return self.rental.select(
+        stores = self.staff.select("staff_id", "store_id")
+        return lookup_join(self.rental, stores, "staff_id").select(
             F.col("rental_id").alias("rental_key"),
             F.col("customer_id").alias("customer_key"),
             F.col("staff_id").alias("staff_key"),
-            F.col("line").alias("store_key"),
+            F.col("store_id").alias("store_key"),
             F.col("inventory_id").alias("inventory_key"),
             "rental_date",
             "return_date",
@@ -271,24 +310,33 @@ class RentalData:
         )
 
 
-def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 100_000) -> str:
-    """Write rows as JSON files of one array each, at most `rows_per_file` long.
+def write_json_arrays(df: DataFrame, path: str, bytes_per_file: int = 32 << 20) -> str:
+    """Write rows as JSON files of one array each, of about `bytes_per_file` at most.
 
-    Rows are numbered within their task, so no array outgrows its bound however the
-    values are distributed.
+    Texts are added up within their task, so that no array outgrows its bound however the
+    rows are distributed and however wide they are; one larger row is an array of its own.
     """
-    number = F.monotonically_increasing_id()
-    task = F.shiftright(number, 33)
-    place = F.floor(number.bitwiseAND(F.lit((1 << 33) - 1)) / rows_per_file)
-    arrays = (
-        df.select(F.struct(*df.columns).alias("doc"), task.alias("task"), place.alias("place"))
-        .groupBy("task", "place")
-        .agg(F.to_json(F.collect_list("doc"), {"ignoreNullFields": "false"}).alias("value"))
-    )
-    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    whole = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    texts = df.select(whole.alias("doc"), F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("at"))
+    along = Window.partitionBy("task").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    place = F.floor(F.sum(F.octet_length("doc")).over(along) / bytes_per_file)
+    arrays = texts.withColumn("place", place).groupBy("task", "place").agg(F.collect_list("doc").alias("docs"))
+    lines = arrays.select(F.concat(F.lit("["), F.array_join("docs", ","), F.lit("]")).alias("value"))
+    lines.write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 
+def _copy_id() -> Column:
+    """Part and supplier as one number."""
+    return F.col("l_partkey") * 10_000 + F.col("l_suppkey")
+
+
+def _rental_id() -> Column:
+    """What tells an order line from all others."""
+    day = F.date_format("l_shipdate", "yyyyMMdd")
+    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", day)
+
+
 def _word(text: Column, number: int) -> Column:
     return F.split_part(text, F.lit("#"), F.lit(number))
 

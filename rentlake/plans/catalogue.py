@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from rentlake.functions import calendar, capitalise
 from rentlake.operators import changes, integrity, reports
+from rentlake.operators.joins import lookup_join
 from rentlake.plans import gold, marts, routines
 from rentlake.plans.adapters import RentalData, write_json_arrays
 from rentlake.plans.oracles import ORACLES
@@ -118,6 +119,28 @@ def sales_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _money(sales, "total_sales")
 
 
+@query
+def sales_total_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Money by store and money paid for rentals, each summed up: they must agree."""
+    d = RentalData(spark, sf_dir)
+    sales = marts.sales_by_store(
+        d.payment, d.rental_lines, d.inventory, d.store, d.staff, d.address, d.city, d.country
+    ).agg(F.sum("total_sales").alias("by_store"), F.lit(1).alias("one"))
+    paid = d.payment.where("rental_id IS NOT NULL").agg(F.sum("amount").alias("paid"), F.lit(1).alias("one"))
+    return _money(sales.join(paid, "one").drop("one"), "by_store", "paid")
+
+
+@query
+def actor_info_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of every actor's titles: titles, and their letters without separators."""
+    d = RentalData(spark, sf_dir)
+    parts = marts.actor_info_parts(d.actor, d.film_actor, d.film, d.film_category, d.category)
+    titles = F.size(F.split("titles", ", "))
+    return parts.groupBy("actor_id", "name").agg(
+        F.sum(titles).alias("n_titles"), F.sum(F.length("titles") - 2 * (titles - 1)).alias("n_letters")
+    )
+
+
 @query
 def views_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers of each country by their note, asked in SQL of a registered view."""
@@ -154,6 +177,14 @@ def film_in_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routines.film_in_stock(d.inventory, d.rental_lines)
 
 
+@query
+def film_in_stock_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The copies of one film on the shelf of the first store that has any."""
+    d = RentalData(spark, sf_dir)
+    store = d.inventory.where("film_id = 7").agg(F.min("store_id")).first()[0]
+    return routines.film_in_stock(d.inventory, d.rental_lines, film_id=7, store_id=store)
+
+
 @query
 def film_not_in_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = RentalData(spark, sf_dir)
@@ -378,11 +409,6 @@ def create_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
-@query
-def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.file_inventory(spark, sf_dir, "*.parquet", recursive=True).select("name", "size")
-
-
 @query
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.table_profile(RentalData(spark, sf_dir).raw("orders"), exact=True)
@@ -429,6 +455,15 @@ def apply_changes_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.apply_changes(d.film_text, d.film_changes, "film_id", FILM_TEXT, null_safe=True)
 
 
+@query
+def apply_changes_absent_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same change set over a table that lacks the films of one type: their updates do nothing."""
+    d = RentalData(spark, sf_dir)
+    economy = d.raw("part").where("p_type IN ('ECONOMY', 'PROMO')").selectExpr("p_partkey AS film_id")
+    base = lookup_join(d.film_text, economy, "film_id", "left_anti")
+    return changes.apply_changes(base, d.film_changes, "film_id", FILM_TEXT)
+
+
 @query
 def apply_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same change set landed as files and followed in several batches."""
@@ -449,6 +484,21 @@ def check_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.duplicate_keys(RentalData(spark, sf_dir).raw("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query
+def check_pk_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Return days as if they were a primary key: repeated ones, and none at all."""
+    lines = RentalData(spark, sf_dir).rental_lines
+    return integrity.primary_key_violations(lines.select(F.to_date("return_date").alias("return_day")), ["return_day"])
+
+
+@query
+def check_set_domain_of_pattern_sign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rule with a separator that means something else in a pattern."""
+    part = RentalData(spark, sf_dir).raw("part").withColumn("p_name", F.translate("p_name", " ", "|"))
+    allowed = ["red", "blue", "small", "large", "bolt", "gear", "ring", "rod", "plate"]
+    return integrity.violations(part, integrity.is_outside_set("p_name", allowed, "|")).select("p_partkey", "p_name")
+
+
 @query
 def check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rentals sharing date, copy and customer."""
@@ -473,7 +523,7 @@ def check_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open rentals, as rows that miss a return date."""
     missing = integrity.null_violations(RentalData(spark, sf_dir).rental_lines, ["return_date", "inventory_id"])
-    return missing.select("rental_id", "line", "inventory_id", F.array_join("null_columns", ",").alias("null_columns"))
+    return missing.select("rental_id", "inventory_id", F.array_join("null_columns", ",").alias("null_columns"))
 
 
 @query
@@ -516,18 +566,7 @@ def check_open_rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = RentalData(spark, sf_dir)
-    return integrity.integrity_report(
-        {
-            "payment": d.payment,
-            "rental": d.rental_lines,
-            "customer": d.customer,
-            "inventory": d.inventory,
-            "film": d.film,
-            "address": d.address,
-            "city": d.city,
-        }
-    )
+    return integrity.integrity_report(RentalData(spark, sf_dir).source_tables)
 
 
 @query
@@ -553,7 +592,8 @@ def _in_debt(d: RentalData) -> DataFrame:
 def fk_set_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments after the rentals of pending orders were deleted."""
     d = RentalData(spark, sf_dir)
-    deleted = d.raw("orders").where("o_orderstatus = 'P'").selectExpr("o_orderkey AS rental_id")
+    pending = d.raw("orders").where("o_orderstatus = 'P'").selectExpr("o_orderkey AS order_id")
+    deleted = lookup_join(d.rental_lines.select("rental_id", "order_id"), pending, "order_id", "left_semi")
     left = integrity.set_null_on_delete(d.payment, "rental_id", deleted, "rental_id")
     return left.select("payment_id", "rental_id")
 

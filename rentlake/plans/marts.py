@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentlake.functions import capitalise, full_name, ordered_concat, ordered_parts
-from rentlake.operators.joins import hot_keys, is_small, lookup_join, salted_join
+from rentlake.operators.joins import hot_keys, lookup_join, salted_join
 
 
 def _places(address: DataFrame, city: DataFrame, country: DataFrame) -> DataFrame:
@@ -163,19 +163,22 @@ def _paid_by_copy(payment: DataFrame, rental: DataFrame) -> DataFrame:
     return rented.groupBy("inventory_id").agg(F.sum("amount").alias("paid"))
 
 
+def _filed_appearances(film_actor: DataFrame, film: DataFrame, film_category: DataFrame) -> DataFrame:
+    """Actor, category and title of every appearance.
+
+    Two shuffle joins in a row on one key leave no shuffle that adaptive execution could
+    split, so films with very many actors are salted, at any size.
+    """
+    appearances = film_actor.select("actor_id", "film_id")
+    films = lookup_join(film_category.select("film_id", "category_id"), film.select("film_id", "title"), "film_id")
+    return salted_join(appearances, films, ["film_id"], "inner", hot_keys(appearances, "film_id"))
+
+
 def actor_info(
     actor: DataFrame, film_actor: DataFrame, film: DataFrame, film_category: DataFrame, category: DataFrame
 ) -> DataFrame:
     """Actors with `Category: title, title; Category: title`; NULL where there is no film."""
-    appearances = film_actor.select("actor_id", "film_id")
-    titled, shelved = film.select("film_id", "title"), film_category.select("film_id", "category_id")
-    if is_small(titled) and is_small(shelved):
-        filed = appearances.join(titled, "film_id").join(shelved, "film_id")
-    else:
-        # Two shuffle joins in a row on one key leave no shuffle that adaptive execution
-        # could split, so a film with very many actors is salted.
-        films = lookup_join(shelved, titled, "film_id")
-        filed = salted_join(appearances, films, ["film_id"], "inner", hot_keys(appearances, "film_id"))
+    filed = _filed_appearances(film_actor, film, film_category)
     titles = ordered_concat(filed, ["actor_id", "category_id"], "title", ["title", "film_id"], ", ", "titles")
     sections = (
         lookup_join(titles, category.select("category_id", "name"), "category_id", keys_in=film_category)
@@ -186,6 +189,19 @@ def actor_info(
     return actor.select("actor_id", "first_name", "last_name").join(infos, "actor_id", "left")
 
 
+def actor_info_parts(
+    actor: DataFrame, film_actor: DataFrame, film: DataFrame, film_category: DataFrame, category: DataFrame
+) -> DataFrame:
+    """The titles of each actor and category as numbered pieces, none larger than a partition."""
+    filed = _filed_appearances(film_actor, film, film_category)
+    named = lookup_join(filed, category.select("category_id", "name"), "category_id", keys_in=film_category)
+    parts = ordered_parts(named, ["actor_id", "category_id", "name"], "title", ["title", "film_id"], ", ", "titles")
+    people = actor.select("actor_id", "first_name", "last_name")
+    return lookup_join(parts, people, "actor_id").select(
+        "actor_id", "first_name", "last_name", "category_id", "name", "part", "titles"
+    )
+
+
 def register_views(tables: Mapping[str, DataFrame]) -> list[str]:
     """Register every view whose source tables are given; returns the view names."""
     views = {

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+from rentlake import schemas
+
 # Named subqueries shared by the texts below.
 PARTS = {
     "film": """film as (select p_partkey as film_id, p_name as title, p_type, p_brand, p_size,
         cast(p_retailprice as decimal(12,2)) as rental_rate from part)""",
-    "line": """line as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
+    "line": """line as (select *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d')) as rental_id,
+        l_partkey * 10000 + l_suppkey as inventory_id,
         case when l_returnflag = 'N' and l_linestatus = 'O' and l_shipdate > timestamp '2001-06-01 00:00:00'
              then null else l_shipdate end as return_date from lineitem)""",
-    "rental": """rental as (select line.*, o_custkey, o_orderdate from line join orders on l_orderkey = o_orderkey)""",
+    "rental": """rental as (select * from line join orders on l_orderkey = o_orderkey)""",
+    "copy": """copy as (select distinct inventory_id, l_partkey as film_id, s_nationkey as store_id
+        from line join supplier on s_suppkey = l_suppkey)""",
+    "gone": """gone as (select distinct inventory_id from line where return_date is null)""",
     "filed": """filed as (select p_partkey as film_id, p_type as category from part
         union all select p_partkey, p_brand from part)""",
     "played": """played as (select distinct l_partkey as film_id, l_suppkey as actor_id from lineitem)""",
-    "sold": """sold as (select l_partkey, cast(sum(cast(o_totalprice as decimal(12,2))) as decimal(28,2)) as paid
-        from orders join lineitem on l_orderkey = o_orderkey group by l_partkey)""",
+    "sold": """sold as (select inventory_id, cast(sum(cast(l_extendedprice as decimal(12,2))) as decimal(28,2)) as paid
+        from rental group by inventory_id)""",
     "place": """place as (select n_nationkey, n_name, r_name from nation join region on r_regionkey = n_regionkey)""",
     "text": """text as (select p_partkey as film_id, p_name as title, p_type, p_brand, p_size,
         case when p_brand = 'Brand#2' then null else p_type end as description from part)""",
@@ -47,12 +53,12 @@ def _film_list(actor: str) -> str:
 
 _SILVER = _with(
     "line rental",
-    """select l_orderkey as rental_key, c_custkey as customer_key,
+    """select rental_id as rental_key, c_custkey as customer_key,
         split_part(c_name, '#', 1) as customer_first_name, split_part(c_name, '#', 2) as customer_last_name,
         concat(c_name, '@', lower(c_mktsegment)) as customer_email,
         s_suppkey as staff_key, split_part(s_name, '#', 1) as staff_first_name,
         split_part(s_name, '#', 2) as staff_last_name, s_name as staff_email, s_nationkey as store_key,
-        p_partkey as inventory_key, p_name as title, p_size + 1970 as release_year, p_size as rental_duration,
+        inventory_id as inventory_key, p_name as title, p_size + 1970 as release_year, p_size as rental_duration,
         cast(p_retailprice as decimal(12,2)) as rental_rate, p_size as length,
         cast(p_retailprice as decimal(12,2)) as replacement_cost, p_brand as rating,
         monthname(o_orderdate) as rental_month, dayname(o_orderdate) as rental_day_name,
@@ -73,9 +79,9 @@ def _spend(key: str, alias: str, returned: str = "") -> str:
     )
 
 
-_BEST = """select o_custkey from orders
+_BEST = """select o_custkey from lineitem join orders on l_orderkey = o_orderkey
     where cast(o_orderdate as date) between date '1996-03-01' and date '1996-03-31'
-    group by o_custkey having sum(cast(o_totalprice as decimal(12,2))) > 200000 and count(o_custkey) > 1"""
+    group by o_custkey having sum(cast(l_extendedprice as decimal(12,2))) > 200000 and count(o_custkey) > 1"""
 
 
 def _changed(description: str) -> str:
@@ -113,104 +119,94 @@ def _count(table: str, rule: str, columns: str, text: str) -> str:
     return f"select '{table}' as table_name, '{rule}' as rule, '{columns}' as columns, ({text}) as n_violations"
 
 
-def _where(table: str, condition: str) -> str:
-    return f"select count(*) from {table} where {condition}"
-
-
-def _dup(table: str, keys: str) -> str:
-    return f"select count(*) from (select {keys} from {table} group by {keys} having count(*) > 1)"
-
-
 def _orphan(child: str, fk: str, parent: str, pk: str) -> str:
     return f"""select count(*) from {child} c where c.{fk} is not null
         and not exists (select 1 from {parent} p where p.{pk} = c.{fk})"""
 
 
-_SMALL = 65535
-_MEDIUM = 16777215
-_STORE = "cast(split_part(p_brand, '#', 2) as int) - 1"
-_REPORT = [
-    ("payment", "NOT NULL", "payment_id", _where("orders", "o_orderkey is null")),
-    ("payment", "NOT NULL", "customer_id", _where("orders", "o_custkey is null")),
-    ("payment", "NOT NULL", "amount", _where("orders", "o_totalprice is null")),
-    ("payment", "NOT NULL", "payment_date", _where("orders", "o_orderdate is null")),
-    ("payment", "RANGE", "payment_id", _where("orders", f"o_orderkey not between 0 and {_SMALL}")),
-    ("payment", "RANGE", "customer_id", _where("orders", f"o_custkey not between 0 and {_SMALL}")),
-    ("payment", "DECIMAL", "amount", _where("orders", "abs(cast(o_totalprice as decimal(12,2))) >= 1000")),
-    ("payment", "PRIMARY KEY", "payment_id", _dup("orders", "o_orderkey")),
-    ("payment", "FOREIGN KEY", "rental_id->rental.rental_id", _orphan("orders", "o_orderkey", "lineitem", "l_orderkey")),
-    ("payment", "FOREIGN KEY", "customer_id->customer.customer_id", _orphan("orders", "o_custkey", "customer", "c_custkey")),
-    ("rental", "NOT NULL", "rental_id", _where("lineitem", "l_orderkey is null")),
-    ("rental", "NOT NULL", "inventory_id", _where("lineitem", "l_partkey is null")),
-    ("rental", "NOT NULL", "staff_id", _where("lineitem", "l_suppkey is null")),
-    ("rental", "RANGE", "inventory_id", _where("lineitem", f"l_partkey not between 0 and {_MEDIUM}")),
-    ("rental", "RANGE", "staff_id", _where("lineitem", "l_suppkey not between 0 and 255")),
-    ("rental", "PRIMARY KEY", "rental_id", _dup("lineitem", "l_orderkey")),
-    ("rental", "FOREIGN KEY", "inventory_id->inventory.inventory_id", _orphan("lineitem", "l_partkey", "part", "p_partkey")),
-    (
-        "rental",
-        "ONE OPEN RENTAL",
-        "inventory_id",
-        """select count(*) from (select l_partkey from lineitem where l_returnflag = 'N' and l_linestatus = 'O'
-            and l_shipdate > timestamp '2001-06-01 00:00:00' group by l_partkey having count(*) > 1)""",
-    ),
-    ("customer", "NOT NULL", "customer_id", _where("customer", "c_custkey is null")),
-    ("customer", "NOT NULL", "store_id", _where("customer", "c_nationkey is null")),
-    ("customer", "NOT NULL", "first_name", _where("customer", "c_name is null")),
-    ("customer", "NOT NULL", "last_name", _where("customer", "c_name is null")),
-    ("customer", "NOT NULL", "address_id", _where("customer", "c_nationkey is null")),
-    ("customer", "NOT NULL", "active", _where("customer", "c_acctbal is null")),
-    ("customer", "LENGTH", "first_name", _where("customer", "length(split_part(c_name, '#', 1)) > 45")),
-    ("customer", "LENGTH", "last_name", _where("customer", "length(split_part(c_name, '#', 2)) > 45")),
-    ("customer", "LENGTH", "email", _where("customer", "length(c_name) + 1 + length(c_mktsegment) > 50")),
-    ("customer", "RANGE", "customer_id", _where("customer", f"c_custkey not between 0 and {_SMALL}")),
-    ("customer", "RANGE", "store_id", _where("customer", "c_nationkey not between 0 and 255")),
-    ("customer", "RANGE", "address_id", _where("customer", f"c_nationkey not between 0 and {_SMALL}")),
-    ("customer", "PRIMARY KEY", "customer_id", _dup("customer", "c_custkey")),
-    ("customer", "FOREIGN KEY", "address_id->address.address_id", _orphan("customer", "c_nationkey", "nation", "n_nationkey")),
-    ("inventory", "NOT NULL", "inventory_id", _where("part", "p_partkey is null")),
-    ("inventory", "NOT NULL", "film_id", _where("part", "p_partkey is null")),
-    ("inventory", "NOT NULL", "store_id", _where("part", "p_brand is null")),
-    ("inventory", "RANGE", "inventory_id", _where("part", f"p_partkey not between 0 and {_MEDIUM}")),
-    ("inventory", "RANGE", "film_id", _where("part", f"p_partkey not between 0 and {_SMALL}")),
-    ("inventory", "RANGE", "store_id", _where("part", f"{_STORE} not between 0 and 255")),
-    ("inventory", "PRIMARY KEY", "inventory_id", _dup("part", "p_partkey")),
-    ("inventory", "FOREIGN KEY", "film_id->film.film_id", _orphan("part", "p_partkey", "part", "p_partkey")),
-    ("film", "NOT NULL", "film_id", _where("part", "p_partkey is null")),
-    ("film", "NOT NULL", "title", _where("part", "p_name is null")),
-    ("film", "NOT NULL", "rental_duration", _where("part", "p_size is null")),
-    ("film", "NOT NULL", "rental_rate", _where("part", "p_retailprice is null")),
-    ("film", "NOT NULL", "replacement_cost", _where("part", "p_retailprice is null")),
-    ("film", "DOMAIN", "rating", _where("part", "p_brand not in ('G', 'PG', 'PG-13', 'R', 'NC-17')")),
-    ("film", "LENGTH", "title", _where("part", "length(p_name) > 128")),
-    ("film", "RANGE", "film_id", _where("part", f"p_partkey not between 0 and {_SMALL}")),
-    ("film", "RANGE", "rental_duration", _where("part", "p_size not between 0 and 255")),
-    ("film", "RANGE", "length", _where("part", f"p_size not between 0 and {_SMALL}")),
-    ("film", "DECIMAL", "rental_rate", _where("part", "abs(cast(p_retailprice as decimal(12,2))) >= 100")),
-    ("film", "DECIMAL", "replacement_cost", _where("part", "abs(cast(p_retailprice as decimal(12,2))) >= 1000")),
-    ("film", "PRIMARY KEY", "film_id", _dup("part", "p_partkey")),
-    ("address", "NOT NULL", "address_id", _where("nation", "n_nationkey is null")),
-    ("address", "NOT NULL", "address", _where("nation", "n_name is null")),
-    ("address", "NOT NULL", "district", _where("nation", "n_name is null")),
-    ("address", "NOT NULL", "city_id", _where("nation", "n_nationkey is null")),
-    ("address", "NOT NULL", "phone", _where("nation", "n_nationkey is null")),
-    ("address", "LENGTH", "address", _where("nation", "length(n_name) > 48")),
-    ("address", "LENGTH", "address2", "select 0"),
-    ("address", "LENGTH", "district", _where("nation", "length(n_name) > 20")),
-    ("address", "LENGTH", "postal_code", _where("nation", "length(cast(n_nationkey as varchar)) > 10")),
-    ("address", "LENGTH", "phone", _where("nation", "length(cast(n_nationkey as varchar)) > 19")),
-    ("address", "RANGE", "address_id", _where("nation", f"n_nationkey not between 0 and {_SMALL}")),
-    ("address", "RANGE", "city_id", _where("nation", f"n_nationkey not between 0 and {_SMALL}")),
-    ("address", "PRIMARY KEY", "address_id", _dup("nation", "n_nationkey")),
-    ("address", "FOREIGN KEY", "city_id->city.city_id", _orphan("nation", "n_nationkey", "nation", "n_nationkey")),
-    ("city", "NOT NULL", "city_id", _where("nation", "n_nationkey is null")),
-    ("city", "NOT NULL", "city", _where("nation", "n_name is null")),
-    ("city", "NOT NULL", "country_id", _where("nation", "n_regionkey is null")),
-    ("city", "LENGTH", "city", _where("nation", "length(n_name) > 50")),
-    ("city", "RANGE", "city_id", _where("nation", f"n_nationkey not between 0 and {_SMALL}")),
-    ("city", "RANGE", "country_id", _where("nation", f"n_regionkey not between 0 and {_SMALL}")),
-    ("city", "PRIMARY KEY", "city_id", _dup("nation", "n_nationkey")),
-]
+# The adapter's tables as SQL, for the rules of the integrity report.
+_TABLES = {
+    "actor": """select s_suppkey as actor_id, upper(split_part(s_name, '#', 1)) as first_name,
+        split_part(s_name, '#', 2) as last_name from supplier""",
+    "address": """select n_nationkey as address_id, concat('1 ', n_name) as address, cast(null as varchar) as address2,
+        n_name as district, n_nationkey as city_id, cast(n_nationkey as varchar) as postal_code,
+        concat('+', cast(n_nationkey as varchar)) as phone from nation""",
+    "category": "select distinct category as category_id, category as name from filed",
+    "city": "select n_nationkey as city_id, n_name as city, n_regionkey as country_id from nation",
+    "country": "select r_regionkey as country_id, r_name as country from region",
+    "customer": """select c_custkey as customer_id, c_nationkey as store_id, split_part(c_name, '#', 1) as first_name,
+        split_part(c_name, '#', 2) as last_name, concat(c_name, '@', lower(c_mktsegment)) as email,
+        c_nationkey as address_id, c_acctbal > 0 as active,
+        (select min(o_orderdate) from orders where o_custkey = c_custkey) as create_date from customer""",
+    "film": """select p_partkey as film_id, p_name as title, concat(p_brand, ' ', p_type) as description,
+        p_size + 1970 as release_year, p_size % 5 as language_id,
+        case when p_size % 3 = 0 then p_size % 7 end as original_language_id, p_size as rental_duration,
+        cast(p_retailprice as decimal(12,2)) as rental_rate, p_size as length,
+        cast(p_retailprice as decimal(12,2)) as replacement_cost, p_brand as rating,
+        case when p_size % 2 = 0 then 'Trailers,Commentaries' when p_size % 3 = 0 then 'Trailers,Bloopers' end
+            as special_features from part""",
+    "film_actor": "select actor_id, film_id from played",
+    "film_category": "select film_id, category as category_id from filed",
+    "film_text": "select film_id, title, description from text",
+    "inventory": "select inventory_id, film_id, store_id from copy",
+    "language": "select r_regionkey as language_id, r_name as name from region",
+    "payment": """select rental_id as payment_id, o_custkey as customer_id, l_suppkey as staff_id, rental_id,
+        cast(l_extendedprice as decimal(12,2)) as amount, o_orderdate as payment_date from rental""",
+    "rental": """select rental_id, o_orderdate as rental_date, inventory_id, o_custkey as customer_id, return_date,
+        l_suppkey as staff_id from rental""",
+    "staff": """select s_suppkey as staff_id, split_part(s_name, '#', 1) as first_name,
+        split_part(s_name, '#', 2) as last_name, s_nationkey as address_id, s_name as email, s_nationkey as store_id,
+        s_acctbal > 0 as active from supplier""",
+    "store": """select s_nationkey as store_id, min(s_suppkey) as manager_staff_id, s_nationkey as address_id
+        from supplier group by s_nationkey""",
+}
+
+
+def _members(values: list[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def _row_conditions(table: str) -> list[tuple[str, str, str]]:
+    """Kind, column and violation of every declared rule on single rows."""
+    found = [("NOT NULL", c, f"{c} is null") for c in schemas.required_columns(table)]
+    for c, values in schemas.DOMAINS.get(table, {}).items():
+        found.append(("DOMAIN", c, f"{c} not in ({_members(values)})"))
+    for c, values in schemas.SET_DOMAINS.get(table, {}).items():
+        found.append(("SET", c, f"len(list_filter(string_split({c}, ','), lambda x: x not in ({_members(values)}))) > 0"))
+    for c, most in schemas.LENGTHS.get(table, {}).items():
+        found.append(("LENGTH", c, f"length({c}) > {most}"))
+    for c, (low, high) in schemas.RANGES.get(table, {}).items():
+        found.append(("RANGE", c, f"{c} is not null and not coalesce(try_cast({c} as double) between {low} and {high}, false)"))
+    for c, (digits, places) in schemas.DECIMALS.get(table, {}).items():
+        limit = f"abs({c}) >= {10 ** (digits - places)}"
+        found.append(("DECIMAL", c, f"{limit} or round({c}, {places}) <> {c}"))
+    return found
+
+
+def _report() -> str:
+    texts = []
+    for table in schemas.SOURCE_TABLES:
+        source = f"t_{table}"
+        for kind, column, broken in _row_conditions(table):
+            texts.append(_count(table, kind, column, f"select count(*) from {source} where {broken}"))
+        key = schemas.PRIMARY_KEYS[table]
+        null = " or ".join(f"{k} is null" for k in key)
+        listed = ", ".join(key)
+        repeated = f"select count(*) from (select {listed} from {source} group by {listed} having count(*) > 1 or {null})"
+        texts.append(_count(table, "PRIMARY KEY", ",".join(key), repeated))
+        for unique in schemas.UNIQUE_KEYS.get(table, []):
+            set_ = " and ".join(f"{k} is not null" for k in unique)
+            listed = ", ".join(unique)
+            repeated = f"select count(*) from (select {listed} from {source} where {set_} group by {listed} having count(*) > 1)"
+            texts.append(_count(table, "UNIQUE", ",".join(unique), repeated))
+    for child, fk, parent, pk, _ in schemas.FOREIGN_KEYS:
+        texts.append(_count(child, "FOREIGN KEY", f"{fk}->{parent}.{pk}", _orphan(f"t_{child}", fk, f"t_{parent}", pk)))
+    twice = """select count(*) from (select inventory_id from t_rental where return_date is null
+        group by inventory_id having count(*) > 1)"""
+    texts.append(_count("rental", "ONE OPEN RENTAL", "inventory_id", twice))
+    tables = ", ".join(f"t_{name} as ({text})" for name, text in _TABLES.items())
+    return _with("line rental copy filed played text", f", {tables} {' union all '.join(texts)}")
+
 
 _FIRST = "upper(split_part(s_name, '#', 1))"
 _PLACED = "n_name as city, r_name as country"
@@ -251,21 +247,28 @@ ORACLES: dict[str, str] = {
             string_agg(concat(category, ': ', titles), '; ' order by category) as film_info
         from supplier left join listed on listed.actor_id = s_suppkey group by s_suppkey, s_name""",
     ),
+    "actor_info_parts": _with(
+        "filed played",
+        """select actor_id, category as name, count(*) as n_titles, cast(sum(length(p_name)) as bigint) as n_letters
+        from played join filed using (film_id) join part on p_partkey = film_id group by actor_id, category""",
+    ),
     "sales_by_store": _with(
-        "place sold",
+        "line rental copy place sold",
         f"""select concat(n_name, ',', r_name) as store, {_name('s_name')} as manager,
             cast(sum(paid) as decimal(28,2)) as total_sales
-        from sold join part on p_partkey = l_partkey
-        join (select s_nationkey, min(s_suppkey) as boss from supplier group by s_nationkey) b
-            on s_nationkey = {_STORE}
+        from sold join copy using (inventory_id)
+        join (select s_nationkey, min(s_suppkey) as boss from supplier group by s_nationkey) b on s_nationkey = store_id
         join supplier s on s.s_suppkey = boss join place on n_nationkey = b.s_nationkey
         group by n_name, r_name, s_name""",
     ),
     "sales_by_category": _with(
-        "filed sold",
+        "line rental copy filed sold",
         """select category, cast(sum(paid) as decimal(28,2)) as total_sales
-        from sold join filed on film_id = l_partkey group by category""",
+        from sold join copy using (inventory_id) join filed using (film_id) group by category""",
     ),
+    "sales_total_check": """select cast(sum(cast(l_extendedprice as decimal(12,2))) as decimal(28,2)) as by_store,
+            cast(sum(cast(l_extendedprice as decimal(12,2))) as decimal(28,2)) as paid
+        from lineitem where l_orderkey in (select o_orderkey from orders)""",
     "views_in_sql": _with(
         "place",
         """select r_name as country, case when c_acctbal > 0 then 'active' else '' end as notes,
@@ -281,44 +284,39 @@ ORACLES: dict[str, str] = {
         "film line rental",
         """, charged as (select o_custkey, sum(rental_rate) as rent,
             sum(case when datediff('day', o_orderdate, return_date) > p_size
-                then datediff('day', o_orderdate, return_date) - p_size else 0 end) as late
+                then datediff('day', o_orderdate, return_date) - p_size else 0 end) as late,
+            sum(cast(l_extendedprice as decimal(12,2))) as paid
             from rental join film on film_id = l_partkey
-            where o_orderdate <= timestamp '1998-01-01 00:00:00' group by o_custkey),
-        paid as (select o_custkey, sum(cast(o_totalprice as decimal(12,2))) as paid from orders
             where o_orderdate <= timestamp '1998-01-01 00:00:00' group by o_custkey)
         select c_custkey as customer_id,
             cast(coalesce(rent, 0) + coalesce(late, 0) - coalesce(paid, 0) as decimal(28,2)) as balance
-        from customer left join charged on charged.o_custkey = c_custkey left join paid on paid.o_custkey = c_custkey""",
+        from customer left join charged on o_custkey = c_custkey""",
     ),
     "film_in_stock": _with(
-        "line",
-        """select p_partkey as inventory_id from part
-        where not exists (select 1 from line where l_partkey = p_partkey and return_date is null)""",
+        "line copy gone", "select inventory_id from copy where inventory_id not in (select inventory_id from gone)"
+    ),
+    "film_in_stock_of": _with(
+        "line copy gone",
+        """select inventory_id from copy where film_id = 7 and store_id in (select min(store_id) from copy where film_id = 7)
+            and inventory_id not in (select inventory_id from gone)""",
     ),
     "film_not_in_stock": _with(
-        "line",
-        """select p_partkey as inventory_id from part
-        where exists (select 1 from line where l_partkey = p_partkey and return_date is null)""",
+        "line copy gone", "select inventory_id from copy where inventory_id in (select inventory_id from gone)"
     ),
     "stock_counts": _with(
-        "line",
-        f"""select p_partkey as film_id, {_STORE} as store_id,
-            cast(case when o.l_partkey is null then 1 else 0 end as bigint) as n_in_stock,
-            cast(case when o.l_partkey is null then 0 else 1 end as bigint) as n_out
-        from part left join (select distinct l_partkey from line where return_date is null) o
-            on o.l_partkey = p_partkey""",
+        "line copy gone",
+        """select film_id, store_id, count(*) - count(gone.inventory_id) as n_in_stock, count(gone.inventory_id) as n_out
+        from copy left join gone using (inventory_id) group by film_id, store_id""",
     ),
     "inventory_stock_flag": _with(
-        "line",
-        """select p_partkey as inventory_id, o.l_partkey is null as in_stock
-        from part left join (select distinct l_partkey from line where return_date is null) o
-            on o.l_partkey = p_partkey""",
+        "line copy gone",
+        """select inventory_id, inventory_id not in (select inventory_id from gone) as in_stock from copy""",
     ),
     "inventory_holder": _with(
-        "line rental",
-        """select p_partkey as inventory_id, min(o_custkey) as customer_id, count(o_custkey) as n_open
-        from part left join (select l_partkey, o_custkey from rental where return_date is null) o
-            on o.l_partkey = p_partkey group by p_partkey""",
+        "line rental copy",
+        """select c.inventory_id, min(o_custkey) as customer_id, count(o_custkey) as n_open
+        from copy c left join (select inventory_id, o_custkey from rental where return_date is null) o
+            on o.inventory_id = c.inventory_id group by c.inventory_id""",
     ),
     "bronze_ingest": "select * from events",
     "bronze_lineage": """select event_type, count(*) as n_rows, count(*) as n_with_file, count(*) as n_with_time
@@ -333,7 +331,7 @@ ORACLES: dict[str, str] = {
     ),
     "silver_unmatched": _with(
         "line rental",
-        """select l_orderkey as rental_key, l_partkey as inventory_key, l_suppkey as staff_key,
+        """select rental_id as rental_key, inventory_id as inventory_key, l_suppkey as staff_key,
             o_custkey as customer_key, 'return_date' as missing from rental where return_date is null""",
     ),
     "silver_late_dimension": _with(
@@ -366,19 +364,38 @@ ORACLES: dict[str, str] = {
     "apply_changes": _changed("p_type = 'ECONOMY' and description is not null"),
     "apply_changes_null_safe": _changed("p_type = 'ECONOMY'"),
     "apply_changes_stream": _changed("p_type = 'ECONOMY' and description is not null"),
+    "apply_changes_absent_key": _with(
+        "text",
+        """select film_id, case when p_type = 'SMALL' and p_size > 25 then concat(title, ' v2')
+                 when p_type = 'SMALL' then concat(title, ' v1') else title end as title, description
+        from text where p_brand <> 'Brand#1' and p_type not in ('ECONOMY', 'PROMO')
+        union all select -film_id - 1, title, description from text where p_type = 'LARGE'""",
+    ),
+    "check_pk_nulls": _with(
+        "line",
+        """select cast(return_date as date) as return_day, count(*) as n_rows from line group by 1
+        having count(*) > 1 or return_day is null""",
+    ),
+    "check_set_domain_of_pattern_sign": """select p_partkey, replace(p_name, ' ', '|') as p_name from part
+        where split_part(p_name, ' ', 1) not in ('red', 'blue', 'small', 'large')
+        or split_part(p_name, ' ', 2) not in ('bolt', 'gear', 'ring', 'rod', 'plate')""",
     "check_pk": """select l_orderkey, l_linenumber, count(*) as n_rows from lineitem
         group by l_orderkey, l_linenumber having count(*) > 1""",
-    "check_unique": """select o_orderdate as rental_date, l_partkey as inventory_id, o_custkey as customer_id,
-            count(*) as n_rows
-        from lineitem join orders on l_orderkey = o_orderkey group by 1, 2, 3 having count(*) > 1""",
-    "check_fk_clean": """select o_orderkey as payment_id from orders
+    "check_unique": _with(
+        "line rental",
+        """select o_orderdate as rental_date, inventory_id, o_custkey as customer_id, count(*) as n_rows
+        from rental group by 1, 2, 3 having count(*) > 1""",
+    ),
+    "check_fk_clean": _with(
+        "line rental",
+        """select rental_id as payment_id from rental
         where not exists (select 1 from customer where c_custkey = o_custkey)""",
+    ),
     "check_fk": """select o_orderkey, o_custkey from orders
         where not exists (select 1 from customer where c_custkey = o_custkey and c_mktsegment = 'BUILDING')""",
     "check_not_null": _with(
         "line",
-        """select l_orderkey as rental_id, l_linenumber as line, l_partkey as inventory_id,
-            'return_date' as null_columns from line where return_date is null""",
+        """select rental_id, inventory_id, 'return_date' as null_columns from line where return_date is null""",
     ),
     "column_defaults": _with(
         "text", "select film_id, title, coalesce(description, 'no description') as description from text"
@@ -392,20 +409,32 @@ ORACLES: dict[str, str] = {
     "check_length": "select p_partkey, p_name from part where length(p_name) > 10",
     "check_open_rentals": _with(
         "line",
-        """select l_partkey as inventory_id, count(*) as n_open from line where return_date is null
-        group by l_partkey having count(*) > 1""",
+        """select inventory_id, count(*) as n_open from line where return_date is null
+        group by inventory_id having count(*) > 1""",
+    ),
+    "integrity_report": _report(),
+    "fk_restrict": _with(
+        "line rental",
+        """select c_custkey as customer_id from customer
+        where c_acctbal < 0 and exists (select 1 from rental where o_custkey = c_custkey)""",
     ),
-    "integrity_report": " union all ".join(_count(*rule) for rule in _REPORT),
-    "fk_restrict": """select c_custkey as customer_id from customer
-        where c_acctbal < 0 and exists (select 1 from orders where o_custkey = c_custkey)""",
-    "fk_allowed_deletes": """select c_custkey as customer_id from customer where c_acctbal < 0
-        and not exists (select 1 from orders where o_custkey = c_custkey
+    "fk_allowed_deletes": _with(
+        "line rental",
+        """select c_custkey as customer_id from customer where c_acctbal < 0
+        and not exists (select 1 from rental where o_custkey = c_custkey
             and o_orderdate < timestamp '1996-01-01 00:00:00')""",
-    "fk_set_null": """select o_orderkey as payment_id, case when o_orderstatus = 'P' then null else o_orderkey end
-        as rental_id from orders""",
-    "fk_cascade": """select o_orderkey as payment_id,
+    ),
+    "fk_set_null": _with(
+        "line rental",
+        """select rental_id as payment_id, case when o_orderstatus = 'P' then null else rental_id end as rental_id
+        from rental""",
+    ),
+    "fk_cascade": _with(
+        "line rental",
+        """select rental_id as payment_id,
             case when c_mktsegment = 'BUILDING' then -o_custkey - 1 else o_custkey end as customer_id
-        from orders left join customer on c_custkey = o_custkey""",
+        from rental left join customer on c_custkey = o_custkey""",
+    ),
     "pivot_sales": """select o_orderstatus, """
     + ", ".join(
         f"cast(sum(case when o_orderpriority = '{p}' then cast(o_totalprice as decimal(12,2)) end) as decimal(28,2)) as {n}"

@@ -169,4 +169,4 @@ def source_schema(table: str) -> T.StructType:
 
 def required_columns(table: str) -> list[str]:
     """Columns of a source table that may not be NULL."""
-    return [field.name for field in source_schema(table) if not field.nullable]
+    return [field.split()[0] for field in SOURCE_TABLES[table].split(", ") if field.endswith("NOT NULL")]

@@ -13,7 +13,7 @@ from rentlake.operators.changes import apply_events, key_events, latest_events
 def follow_changes(
     changes: DataFrame, path: str, checkpoint: str, key: str, values: Sequence[str], null_safe: bool = False
 ) -> None:
-    """Reduce every batch of a change stream to the last event per key and keep it.
+    """Reduce every batch of a change stream to the last events per key and keep them.
 
     Batch N goes to its own folder `batch=N`, replaced if the batch is repeated, so
     each change counts once even when executors or the driver are lost. The cost of a
@@ -40,10 +40,27 @@ def current_table(spark: SparkSession, base: DataFrame, path: str, key: str, val
     events; never overwrite the base that is being read.
     """
     fields = {f.name: f.dataType.simpleString() for f in base.schema}
-    columns = [f"`{key}` {fields[key]}", "seq BIGINT", "present BOOLEAN"]
+    return apply_events(base, _kept_events(spark, base, path, key, values), key, values)
+
+
+def _kept_events(spark: SparkSession, base: DataFrame, path: str, key: str, values: Sequence[str]) -> DataFrame:
+    fields = {f.name: f.dataType.simpleString() for f in base.schema}
+    columns = [f"`{key}` {fields[key]}", "seq BIGINT", "kind STRING", f"source {fields[key]}"]
     columns += [f"`{v}` {fields[v]}" for v in values]
     events = spark.read.schema(", ".join([*columns, "batch BIGINT"])).parquet(path)
-    return apply_events(base, events.select(key, "seq", "present", *values), key, values)
+    return events.select(key, "seq", "kind", "source", *values)
+
+
+def compact_events(
+    spark: SparkSession, base: DataFrame, path: str, target: str, key: str, values: Sequence[str]
+) -> None:
+    """Write all kept events of `path`, reduced to the last ones per key, as one batch of a new folder.
+
+    Nothing that is being read is overwritten: readers change over to `target`, and
+    `follow_changes` goes on there under its checkpoint.
+    """
+    kept = latest_events(_kept_events(spark, base, path, key, values), key, values)
+    kept.write.mode("errorifexists").parquet(f"{target}/batch=-1")
 
 
 def release_version(table: DataFrame, root: str, version: int) -> str:

@@ -28,8 +28,7 @@ def one_by_one(base, changes, null_safe=False):
             seen = [a is not None and b is not None and a != b for a, b in zip(old, new)]
             if null_safe:
                 seen = [a != b for a, b in zip(old, new)]
-            if any(seen):
-                table.pop(old[0], None)
+            if any(seen) and table.pop(old[0], None) is not None:
                 table[new[0]] = new
     return sorted(table.values(), key=repr)
 
@@ -79,6 +78,26 @@ def test_change_from_null_alone_is_missed_unless_null_safe(spark):
     assert rows(apply_changes(base, change, "id", ["title", "description"], null_safe=True)) == [(1, "a", "new")]
 
 
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_updates_of_absent_keys_do_nothing(spark, null_safe):
+    base = [(1, "a", "x"), (2, "b", "x"), (3, "c", "x")]
+    changes = [
+        ("update", 1, 9, "q", "x", 9, "r", "x"),
+        ("update", 2, 8, "q", "x", 7, "q", "x"),
+        ("delete", 3, 2, "b", "x", *NONE),
+        ("update", 4, 2, "b", "x", 2, "z", "x"),
+        ("insert", 5, *NONE, 5, "n", "x"),
+        ("update", 6, 5, "n", "x", 5, "m", "x"),
+        ("update", 7, 5, "m", "x", 6, "m", "x"),
+        ("update", 8, 6, "m", "x", 6, "l", "x"),
+        ("update", 9, 3, "c", "x", 3, "d", "x"),
+    ]
+    got = apply_changes(
+        spark.createDataFrame(base, BASE), spark.createDataFrame(changes, LAYOUT), "id", ["title", "description"], null_safe
+    )
+    assert rows(got) == one_by_one(base, changes, null_safe) == [(1, "a", "x"), (3, "d", "x"), (6, "l", "x")]
+
+
 def test_stream_of_changes_in_batches(spark, folder):
     base, changes = random_history(11)
     base_df = spark.createDataFrame(base, BASE)
@@ -95,6 +114,10 @@ def test_stream_of_changes_in_batches(spark, folder):
         assert rows(follow()) == one_by_one(base, changes[:end])
     # Nothing new: nothing changes.
     assert rows(follow()) == one_by_one(base, changes[:300])
+    fields = ["title", "description"]
+    stream_changes.compact_events(spark, base_df, f"{folder}/events", f"{folder}/compacted", "id", fields)
+    table = stream_changes.current_table(spark, base_df, f"{folder}/compacted", "id", fields)
+    assert rows(table) == one_by_one(base, changes[:300])
 
 
 def test_versions_do_not_overwrite(spark, folder):

@@ -52,11 +52,44 @@ def test_join_on_two_columns(spark):
     assert rows(got, "v", "l") == [(1, "A"), (3, "B")]
 
 
-def test_hot_keys_are_bounded_and_the_most_frequent(spark, sides):
+def test_hot_keys_hold_more_than_an_even_partition(spark, sides):
     fact, _ = sides
-    listed = [r["k"] for r in joins.hot_keys(fact, "k").collect()]
-    assert len(listed) <= joins.HOT_KEYS
-    assert 7 in listed and None not in listed
+    parts = joins.partitions_of(spark)
+    counts = {r["k"]: r["count"] for r in fact.dropna().groupBy("k").count().collect()}
+    want = {k for k, n in counts.items() if n * parts > sum(counts.values())}
+    assert {r["k"] for r in joins.hot_keys(fact, "k").collect()} == want == {7}
+
+
+def test_many_hot_keys_are_all_spread(spark):
+    """With 400 partitions, 300 keys of even size hold more than an even partition each."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        fact = spark.range(30_000).selectExpr("id % 300 AS k", "id AS v").repartition(4)
+        dim = spark.range(300).selectExpr("id AS k", "id AS label")
+        hot = joins.hot_keys(fact, "k")
+        assert hot.count() == 300
+        joined = joins.salted_join(fact, dim.hint("merge"), ["k"], "inner", hot)
+        assert joined.count() == 30_000
+        salted = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert "_salt" in salted
+        per_key = joined.withColumn("p", F.spark_partition_id()).groupBy("k").agg(F.countDistinct("p").alias("n"))
+        assert per_key.where("n > 1").count() == 300
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_stream_joins_need_adaptive_streams(spark, folder):
+    spark.range(10).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema("id LONG").parquet(f"{folder}/in")
+    dim = spark.range(10).selectExpr("id", "id AS label")
+    assert joins.lookup_join(stream, dim, "id").isStreaming
+    spark.conf.set(joins.ADAPTIVE_STREAMS, "false")
+    try:
+        with pytest.raises(ValueError, match=joins.ADAPTIVE_STREAMS):
+            joins.lookup_join(stream, dim, "id")
+    finally:
+        spark.conf.unset(joins.ADAPTIVE_STREAMS)
 
 
 def test_other_join_kinds_are_refused(sides):
@@ -67,18 +100,6 @@ def test_other_join_kinds_are_refused(sides):
         joins.salted_join(fact, dim, ["k"], "full", joins.hot_keys(fact, "k"))
 
 
-def test_small_sides_are_told_by_the_session_threshold(spark, folder):
-    spark.range(1000).write.parquet(f"{folder}/t")
-    table = spark.read.parquet(f"{folder}/t")
-    assert joins.is_small(table)
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
-    try:
-        assert not joins.is_small(table)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-
-
 def test_hot_keys_are_counted_in_the_stored_table(without_adaptive_execution, sides):
     fact, dim = sides
     first = joins.lookup_join(fact, dim.withColumnRenamed("label", "one"), "k")

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from rentlake.sources import files
 from tests.conftest import SAMPLES
 from tests.oracle import connect, difference
 
@@ -26,7 +27,7 @@ def test_every_sql_text_has_a_query():
 
 
 def test_file_inventory_lists_the_folder(spark):
-    listed = {r["name"]: r["size"] for r in entry.queries()["file_inventory"](spark, SAMPLES).collect()}
+    listed = {r["name"]: r["size"] for r in files.file_inventory(spark, SAMPLES, "*.parquet", recursive=True).collect()}
     assert listed == {n: os.path.getsize(f"{SAMPLES}/{n}") for n in os.listdir(SAMPLES)}
 
 
