@@ -448,3 +448,42 @@ ORACLES: dict[str, str] = {
     )
     + " from orders group by o_orderstatus",
 }
+
+_FILMS = _film_list(f"concat({_FIRST}, ' ', split_part(s_name, '#', 2))")
+_FILMS_CAPITALISED = _film_list(f"concat({_capital(_FIRST)}, ' ', split_part(s_name, '#', 2))")
+
+
+def _summed_list(text: str) -> str:
+    return f"""select category, count(*) as n_films, cast(sum(length(actors)) as bigint) as n_letters
+        from ({text}) group by category"""
+
+
+ORACLES |= {
+    "silver_late_staff": ORACLES["silver_stream_enrich"],
+    "lakehouse_end_to_end": ORACLES["gold_from_stream"],
+    "compact_table": "select * from events",
+    "stream_corrupt_records": """select false as broken, count(*) as n_rows from customer
+        union all select true, 1""",
+    "view_staff_list": """select r_name as country, s_nationkey as "SID", count(*) as n_staff
+        from supplier join nation on n_nationkey = s_nationkey join region on r_regionkey = n_regionkey group by 1, 2""",
+    "view_film_list": _summed_list(_FILMS),
+    "view_film_list_capitalised": _summed_list(_FILMS_CAPITALISED),
+    "view_sales_by_store": ORACLES["sales_by_store"],
+    "view_sales_by_category": ORACLES["sales_by_category"],
+    "view_actor_info": f"""select first_name, count(*) as n_actors, cast(sum(length(film_info)) as bigint) as n_letters
+        from ({ORACLES['actor_info']}) group by first_name""",
+    "gold_customer_spend_in_order": f"""select customer_name,
+        cast(row_number() over (order by total_rental_price desc, customer_name) as int) as place
+        from ({ORACLES['gold_customer_spend']})""",
+    "sales_by_store_in_order": _with(
+        "line rental copy place sold",
+        """select concat(n_name, ',', r_name) as store,
+            cast(row_number() over (order by r_name, n_name, store_id) as int) as place
+        from (select distinct store_id from sold join copy using (inventory_id)) join place on n_nationkey = store_id""",
+    ),
+    "sales_by_category_in_order": f"""select category,
+        cast(row_number() over (order by total_sales desc, category) as int) as place
+        from ({ORACLES['sales_by_category']})""",
+    "document_find_in_order": f"""select event_id,
+        cast(row_number() over (order by value desc, event_id) as int) as place from ({ORACLES['document_find']})""",
+}

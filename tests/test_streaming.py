@@ -157,12 +157,25 @@ def test_open_rentals_can_stay(lake, dims):
 
 
 def test_late_dimension_rows_are_made_up_for(spark, lake, dims):
-    lake.land("a", [rental(1), rental(2, customer=2)])
+    # Rental 1 has two lines, of which only one is complete at first.
+    lake.land("a", [rental(1), rental(1, staff=9), rental(2, customer=2), rental(3, returned=None)])
     bronze = lake.bronze()
     early = {**dims, "customers": dims["customers"].where("customer_key = 1")}
-    assert rows(lake.silver(early), "rental_key") == [(1,)]
-    late = medallion.late_rentals(bronze, spark.table(lake.silver_name), **dims)
+    schema = medallion.split_rentals(bronze, **dims).schema
+    path = lake.work.path("split")
+    medallion.run_silver_split(spark, lake.bronze_name, early, path, lake.work.path("split_checkpoint"))
+    first, waiting = medallion.silver_of(spark, path, schema), medallion.quarantine_of(spark, path, schema)
+    assert rows(first, "rental_key") == [(1,)] and waiting.columns == bronze.columns
+    assert rows(waiting, "rental_key") == [(1,), (2,), (3,)]
+    again = lake.work.path("replay_1")
+    medallion.replay(waiting, dims, again)
+    late = medallion.silver_of(spark, again, schema)
     assert rows(late, "rental_key") == [(2,)]
+    last = lake.work.path("replay_2")
+    medallion.replay(medallion.quarantine_of(spark, again, schema), dims, last)
+    assert medallion.silver_of(spark, last, schema).count() == 0
+    assert rows(first.unionByName(late)) == rows(medallion.enrich_rentals(bronze, **dims))
+    assert medallion.quarantine_of(spark, last, schema).count() == 2
 
 
 def test_gold_over_the_stream(lake, dims):
