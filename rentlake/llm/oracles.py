@@ -1,3 +1,86 @@
-"""SQL texts of queries that SQL can express."""
+"""SQL texts of queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+The other queries learn from data, draw by hash, tokenize or hash in ways that SQL does
+not have; tests compare them with brute force.
+"""
+
+from __future__ import annotations
+
+from rentlake.llm import secrets
+
+_SPACE = r"\x20\x09-\x0D"
+
+_SECRETS = {
+    "assign": secrets.ASSIGN,
+    "access": secrets.ACCESS,
+    "hex": secrets.HEX,
+    "identifier": secrets.IDENTIFIER,
+    "secret": secrets.SECRET,
+    "endpoint": secrets.ENDPOINT,
+}
+_COUNTS = {
+    "assign": "length(regexp_extract(m, '{}', 2)) >= 8",
+    "access": "length(m) >= 16",
+    "secret": "regexp_matches(m, '[0-9]') and regexp_matches(m, '[A-Z]') and regexp_matches(m, '[a-z]')",
+}
+
+
+def _either_case(pattern: str) -> str:
+    """A pattern whose part (?i:...) is spelled out for plain letters, in SQL quotes."""
+    if "(?i:" in pattern:
+        begin = pattern.index("(?i:")
+        end = pattern.index(")", begin)
+        words = pattern[begin + 4 : end]
+        spelled = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+        pattern = f"{pattern[:begin]}(?:{spelled}){pattern[end + 1:]}"
+    return pattern.replace("'", "''")
+
+
+def _hits(kind: str) -> str:
+    """The matches of a kind: each follows the pieces and matches before it."""
+    pattern = _either_case(_SECRETS[kind])
+    good = _COUNTS.get(kind, "true").replace("{}", pattern)
+    return f"""select doc_id, '{kind}' as kind, {secrets.KINDS.index(kind)} as rank, last - length(m) as start, last as "end" from (
+        select doc_id, m, sum(length(gap) + length(m)) over (partition by doc_id order by k) as last from (
+            select doc_id, unnest(regexp_extract_all(text, '{pattern}')) as m,
+                unnest(string_split_regex(text, '{pattern}')[:len(regexp_extract_all(text, '{pattern}'))]) as gap,
+                unnest(range(len(regexp_extract_all(text, '{pattern}')))) as k
+            from (select doc_id, coalesce(text, '') as text from documents))) where {good}"""
+
+
+_LISTED = """coalesce(string_agg(concat(kind, ':', start, ':', "end"), ',' order by start, rank), '')"""
+
+_SECRET_SCAN = f"""with hits as ({" union all ".join(f"({_hits(kind)})" for kind in _SECRETS)}),
+    base as (select * from hits where rank < {len(secrets.BASE)}),
+    parts as (select *, case when kind in ('assign', 'hex', 'secret') then 'secret' when kind = 'access' then 'identifier'
+            else kind end as role
+        from hits h where rank < {len(secrets.BASE)} or not exists (
+            select 1 from base b where b.doc_id = h.doc_id and b.start < h."end" and h.start < b."end")),
+    spans as (select doc_id, kind, rank, start, "end" from parts p where rank < {len(secrets.BASE)} or exists (
+        select 1 from parts o where o.doc_id = p.doc_id and abs(o.start - p.start) <= {secrets.SCOPE}
+            and (p.role = 'secret') <> (o.role = 'secret'))),
+    base_text as (select doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+        count(*) filter (kind = 'hex') as n_hex, {_LISTED} as listed from base group by doc_id),
+    all_text as (select doc_id, {_LISTED} as listed from spans group by doc_id)
+    select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+        sha256(coalesce(b.listed, '')) as base_sha256, coalesce(a.listed, '') as spans
+    from documents d left join base_text b on b.doc_id = d.doc_id left join all_text a on a.doc_id = d.doc_id"""
+
+_JACCARD = f"""with recursive words as (select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^{_SPACE}]+') as w
+        from documents),
+    sets as (select doc_id, list_distinct(case when len(w) >= 3
+            then list_transform(range(1, len(w) - 1), lambda i: concat(w[i], ' ', w[i + 1], ' ', w[i + 2]))
+            when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as shingles from words),
+    sizes as (select doc_id, len(shingles) as n from sets),
+    entries as (select doc_id, unnest(shingles) as shingle from sets),
+    pairs as (select a.doc_id as a, b.doc_id as b, count(*) as shared
+        from entries a join entries b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by 1, 2),
+    links as (select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+        where 100 * shared >= 90 * (x.n + y.n - shared)),
+    reached as (select doc_id, doc_id as other from sizes
+        union select reached.doc_id, links.b from reached join links on links.a = reached.other)
+    select doc_id, any_value(n) as n_shingles, min(other) as component_id from reached join sizes using (doc_id)
+    group by doc_id"""
+
+ORACLES: dict[str, str] = {"op2_secret_scan": _SECRET_SCAN, "op3_ngram_jaccard_join": _JACCARD}

@@ -36,12 +36,13 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"
 
+# The weak parts. Words of an identifier may end longer ones, as in superuser.
 IDENTIFIER = (
-    r"""(?<![A-Za-z0-9_])(?i:user|username|login|client_?id|account_?id|access_?key_?id|key_?id)"""
+    r"""(?i:user|username|login|client_?id|account_?id|access_?key_?id|key_?id)"""
     r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@+-]{3,}"""
 )
-SECRET = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
-ENDPOINT = r"""(?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]*://[^\x20\x09-\x0D"'<>]+"""
+SECRET = r"[A-Za-z0-9+/_-]{20,}"
+ENDPOINT = r"""[A-Za-z][A-Za-z0-9+.-]{0,30}://[^\x20\x09-\x0D"'<>]+"""
 
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "identifier", "secret", "endpoint")
