@@ -58,20 +58,35 @@ def _bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def _placed(digest: Column, n: Column, cells: int) -> Column:
+    """A digest with its check hash and its cell in each row, worked out once."""
+    return F.struct(
+        n.alias("n"),
+        digest.alias("key"),
+        _check(digest).alias("check"),
+        *(_cell(digest, row, cells).alias(f"cell{row}") for row in range(3)),
+    )
+
+
 def sketch(found: Column, cells: int = CELLS) -> Column:
     """Three rows of cells (n, key, check) of an array of distinct digests."""
+    none = F.lit(0).cast("long")
 
-    def cell(row: int, j: int) -> Column:
-        return _bind(
-            F.filter(found, lambda d: _cell(d, row, cells) == j),
-            lambda own: F.struct(
-                F.size(own).cast("long").alias("n"),
-                F.aggregate(own, F.lit(0).cast("long"), lambda a, d: a.bitwiseXOR(d)).alias("key"),
-                F.aggregate(own, F.lit(0).cast("long"), lambda a, d: a.bitwiseXOR(_check(d))).alias("check"),
-            ),
-        )
+    def rows(placed: Column) -> Column:
+        def cell(row: int, j: int) -> Column:
+            return F.aggregate(
+                F.filter(placed, lambda d: d[f"cell{row}"] == j),
+                F.struct(none.alias("n"), none.alias("key"), none.alias("check")),
+                lambda a, d: F.struct(
+                    (a["n"] + 1).alias("n"),
+                    a["key"].bitwiseXOR(d["key"]).alias("key"),
+                    a["check"].bitwiseXOR(d["check"]).alias("check"),
+                ),
+            )
 
-    return F.array(*(cell(row, j) for row in range(3) for j in range(cells)))
+        return F.array(*(cell(row, j) for row in range(3) for j in range(cells)))
+
+    return _bind(F.transform(found, lambda d: _placed(d, F.lit(1).cast("long"), cells)), rows)
 
 
 def minus(a: Column, b: Column) -> Column:
@@ -95,12 +110,12 @@ def peel(difference: Column, cells: int = CELLS) -> Column:
         def less(row: int):
             def cell(c: Column, j: Column) -> Column:
                 return F.aggregate(
-                    F.filter(singles, lambda s: _cell(s["key"], row, cells) == j),
+                    F.filter(singles, lambda s: s[f"cell{row}"] == j),
                     c,
                     lambda a, s: F.struct(
                         (a["n"] - s["n"]).alias("n"),
                         a["key"].bitwiseXOR(s["key"]).alias("key"),
-                        a["check"].bitwiseXOR(_check(s["key"])).alias("check"),
+                        a["check"].bitwiseXOR(s["check"]).alias("check"),
                     ),
                 )
 
@@ -117,9 +132,7 @@ def peel(difference: Column, cells: int = CELLS) -> Column:
 
     def singles(state: Column) -> Column:
         rows = (F.filter(state[n], lambda c: (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"]))) for n in names)
-        return F.array_distinct(
-            F.transform(F.concat(*rows), lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key")))
-        )
+        return F.array_distinct(F.transform(F.concat(*rows), lambda c: _placed(c["key"], c["n"], cells)))
 
     def empty(row: Column) -> Column:
         return F.forall(row, lambda c: (c["n"] == 0) & (c["key"] == 0) & (c["check"] == 0))
