@@ -37,7 +37,7 @@ CLOSING = 1
 VECTOR = 256
 DIMENSIONS = 3
 BITS = 12
-WORDS = 1_000_000  # distinct words a worker remembers before it starts anew
+WORDS = 700_000  # distinct words a worker remembers before it starts anew
 ROWS = 500
 
 
