@@ -67,6 +67,8 @@ def repeated_units(docs: DataFrame) -> DataFrame:
         .where("n > 1")
         .select(*digest, F.col("first.doc_id").alias("kept_doc_id"), F.col("first.row").alias("kept_row"), F.col("first.start").alias("kept_start"))
     )
+    # Written, so that the join has a shuffle on either side and splits units of very many texts.
+    first = scratch.keep(first, "first")
     return (
         found.join(first, digest)
         .where((F.col("row") != F.col("kept_row")) | (F.col("start") != F.col("kept_start")))
