@@ -1,17 +1,21 @@
 """Similarity join of documents on their word shingles: a size-aware heavy-light join.
 
-A document's set holds the hashes of its distinct three-word shingles (A-Z lowered; a
-text of one or two words is one shingle; a text without words, or a null, is empty and
-links with nothing). Two documents link when their Jaccard similarity is 0.9 or more.
+A document's set holds the hashes of its distinct word shingles (A-Z lowered; a text of
+fewer words than a shingle has is one shingle; a text without words, or a null, is empty
+and links with nothing). Two documents link when their Jaccard similarity reaches a
+threshold. A `Measure` says how many words and which threshold: three words and 0.9 for
+the query, five words and 0.8 for the stage of the pipeline.
 
 * Equal sets are folded into one class first, so copies never meet in a list.
 * Small (light) sets enumerate subsets: two sets link only if they share the subset that
-  is their intersection, which leaves out at most a tenth of either. All subsets of that
+  is their intersection, which leaves out at most a tenth of either (a fifth at 0.8). All subsets of that
   kind are keys, and sets in one key's list link or not by their sizes alone.
 * Large (heavy) sets are found by scanning inverted lists. The lists are those of blocks
   of the hash range: sets that differ in at most d shingles agree in one of d + 1 blocks.
   Lists of single shingles would hold every document that quotes a common passage; a list
-  of a block holds near copies only, so no list needs a cap.
+  of a block holds near copies only, so no list needs a cap. Blocks without a shingle bring
+  together what has nothing in common: some blocks more than d + 1 are made, and a set
+  with no more empty blocks than that many leaves these out.
 * The boundary is the size at which enumerating starts to cost more than scanning, from
   the number of sets of each size. A pair across the boundary is found by the lists,
   which also hold the small sets close to it.
@@ -27,7 +31,9 @@ one class; rows sharing a doc_id are taken as one document.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from dataclasses import dataclass
+from functools import cached_property, partial
+from itertools import combinations, count
 from math import comb
 
 import numpy as np
@@ -39,87 +45,135 @@ from rentlake.llm.bytesum import U, mix, text_bytes, word_hashes
 from rentlake.llm.components import connected_components
 from rentlake.llm.scratch import Scratch
 
-TENTHS = 9  # a link needs intersection / union of so many tenths
-LIGHT_MOST = 29  # sizes up to here may be enumerated; the boundary lies at or below it
+SUBSETS_MOST = 500  # sets with more subsets than this are never enumerated
 SCAN_COST = 6.0  # rows that one entry of an inverted list costs: shuffled, joined, verified
 CHUNK = 512  # members of one list that are compared in one step
-CLASS_RATIO = (10 / 9) ** 3
+
+
+@dataclass(frozen=True)
+class Measure:
+    """Words of a shingle, the similarity of a link, and what follows from them.
+
+    `class_links` is the width of a size class in steps of the largest ratio of two linked
+    sizes; one block in `spare_of` is spare (none if 0).
+    """
+
+    words: int
+    tenths: int  # a link needs intersection / union of so many tenths
+    class_links: int = 3
+    spare_of: int = 0
+
+    @cached_property
+    def least(self) -> int:
+        """The size of the smallest set that links with a different one."""
+        return -(-self.tenths // (10 - self.tenths))
+
+    @cached_property
+    def light_most(self) -> int:
+        """Sizes up to here may be enumerated; the boundary lies at or below it."""
+        return next(n for n in count(self.least) if self.subsets(n + 1) > SUBSETS_MOST)
+
+    @cached_property
+    def bounds(self) -> np.ndarray:
+        """The smallest size of each class."""
+        ratio = (10 / self.tenths) ** self.class_links
+        return np.unique(np.ceil(ratio ** np.arange(0, int(41 / np.log(ratio)))).astype(np.int64))
+
+    def subsets(self, n: int) -> int:
+        return sum(comb(n, k) for k in range((10 - self.tenths) * n // 10 + 1))
+
+    def class_of(self, n: int) -> int:
+        return int(np.searchsorted(self.bounds, n, "right")) - 1
+
+    def blocks(self, c: int) -> tuple[int, int]:
+        """The number of blocks in class `c`, and how many of them are spare."""
+        needed = differing(2 * int(self.bounds[c + 1]), self) + 1
+        spare = needed // self.spare_of if self.spare_of else 0
+        return needed + spare, spare
+
+
+PAIRS = Measure(words=3, tenths=9)
+NEAR_COPIES = Measure(words=5, tenths=8, class_links=2, spare_of=10)
 
 SETS = "doc_id long, n_shingles long, c1 long, c2 long, light array<long>, heavy array<long>"
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+def shingles(data: np.ndarray, offsets: np.ndarray, measure: Measure = PAIRS) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each row."""
     words, first = word_hashes(data, offsets)
-    with np.errstate(over="ignore"):
-        triples = (
-            mix(words[:-2] + mix(words[1:-1] + mix(words[2:] + U(3)))) if len(words) > 2 else np.zeros(0, dtype=U)
-        )
-        short = [mix(words[a:b].sum(dtype=U) * U(5) + words[a : a + 1] * U(7) + U(b - a)) if 0 < b - a < 3 else None for a, b in zip(first[:-1], first[1:], strict=True)]
+    width = measure.words
+    runs = _run_hash([words[k : len(words) - width + 1 + k] for k in range(width)]) if len(words) >= width else words[:0]
     return [
-        short[i] if short[i] is not None else np.unique(triples[a : max(a, b - 2)])
-        for i, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True))
+        _run_hash([words[k : k + 1] for k in range(a, b)]) if 0 < b - a < width else np.unique(runs[a : max(a, b - width + 1)])
+        for a, b in zip(first[:-1], first[1:], strict=True)
     ]
 
 
-def size_classes(n: int) -> range:
-    """The classes whose lists a set of `n` shingles is in.
+def _run_hash(words: list[np.ndarray]) -> np.ndarray:
+    """Hashes of runs of words, from the hashes of their first words, of their second ones, and so on."""
+    with np.errstate(over="ignore"):
+        out = mix(words[-1] + U(len(words)))
+        for each in reversed(words[:-1]):
+            out = mix(each + out)
+    return out
 
-    Class i holds sizes from CLASS_RATIO**i on. A set is in its own class and in that of
-    the largest set it can link with, so any two sets that link share a class.
-    """
-    own = _class(n)
-    return range(own, _class(n * 10 // TENTHS) + 1)
 
+def size_classes(n: int, measure: Measure = PAIRS) -> range:
+    """The classes whose lists a set of `n` shingles is in.
 
-def _class(n: int) -> int:
-    return int(np.searchsorted(_BOUNDS, n, "right")) - 1
+    A set is in its own class and in that of the largest set it can link with, so any two
+    sets that link share a class.
+    """
+    return range(measure.class_of(n), measure.class_of(n * 10 // measure.tenths) + 1)
 
 
-_BOUNDS = np.unique(np.ceil(CLASS_RATIO ** np.arange(0, 130)).astype(np.int64))
+def differing(total: int, measure: Measure = PAIRS) -> int:
+    """A bound on the shingles in which two linked sets differ whose sizes add up to `total` or less."""
+    return (10 - measure.tenths) * total // (10 + measure.tenths)
 
 
-def differing(total: int) -> int:
-    """A bound on the shingles in which two linked sets differ whose sizes add up to `total` or less."""
-    return (10 - TENTHS) * total // (10 + TENTHS)
+_BOUNDS = PAIRS.bounds
 
 
-def heavy_keys(found: np.ndarray) -> np.ndarray:
-    """Keys of the set's blocks: one of differing + 1 blocks is untouched in a linked set."""
+def heavy_keys(found: np.ndarray, measure: Measure = PAIRS) -> np.ndarray:
+    """Keys of the set's blocks: differing + 1 blocks or more, so that one is untouched in a
+    linked set, and as many more as there are spare ones."""
     keys = []
-    for c in size_classes(len(found)):
-        blocks = differing(2 * int(_BOUNDS[c + 1])) + 1
+    for c in size_classes(len(found), measure):
+        blocks, spare = measure.blocks(c)
         block = ((found >> U(32)) * U(blocks)) >> U(32)
         edges = np.searchsorted(block, np.arange(blocks + 1, dtype=U))
         with np.errstate(over="ignore"):
             sums = np.concatenate(([U(0)], np.cumsum(mix(found), dtype=U)))
-            keys.append(mix(sums[edges[1:]] - sums[edges[:-1]] + mix(np.arange(blocks, dtype=U) + U(c << 32))))
+            every = mix(sums[edges[1:]] - sums[edges[:-1]] + mix(np.arange(blocks, dtype=U) + U(c << 32)))
+        filled = edges[1:] > edges[:-1]
+        keys.append(every[filled] if blocks - filled.sum() <= spare else every)
     return np.concatenate(keys)
 
 
-def light_keys(found: np.ndarray) -> np.ndarray:
-    """Keys of all subsets that leave out up to a tenth; the low byte is the subset's size."""
+def light_keys(found: np.ndarray, measure: Measure = PAIRS) -> np.ndarray:
+    """Keys of all subsets that a linked set can share; the low byte is the subset's size."""
     n = len(found)
     with np.errstate(over="ignore"):
         each = mix(found)
         total, keys = each.sum(dtype=U), []
-        for left_out in range((10 - TENTHS) * n // 10 + 1):
+        for left_out in range((10 - measure.tenths) * n // 10 + 1):
             gone = np.array([each[list(c)].sum(dtype=U) for c in combinations(range(n), left_out)], dtype=U)
             keys.append((mix(total - gone + U(n - left_out)) << U(8)) | U(n - left_out))
     return np.concatenate(keys)
 
 
-def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def set_rows(batches: Iterator[pa.RecordBatch], measure: Measure = PAIRS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
         for low in range(0, batch.num_rows, 500):
             at = offsets[low : low + 501]
-            sets = shingles(data[at[0] : at[-1]], at - at[0])
+            sets = shingles(data[at[0] : at[-1]], at - at[0], measure)
             with np.errstate(over="ignore"):
                 c1 = [int(s.sum(dtype=U)) for s in sets]
                 c2 = [int(mix(s).sum(dtype=U)) for s in sets]
-            small = [light_keys(s) if TENTHS <= len(s) <= LIGHT_MOST else s[:0] for s in sets]
-            large = [heavy_keys(s) if len(s) >= TENTHS else s[:0] for s in sets]
+            small = [light_keys(s, measure) if measure.least <= len(s) <= measure.light_most else s[:0] for s in sets]
+            large = [heavy_keys(s, measure) if len(s) >= measure.least else s[:0] for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(low, len(sets)).cast(pa.int64()),
@@ -139,27 +193,27 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
-def array_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def array_rows(batches: Iterator[pa.RecordBatch], measure: Measure = PAIRS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
         for low in range(0, batch.num_rows, 500):
             at = offsets[low : low + 501]
-            sets = shingles(data[at[0] : at[-1]], at - at[0])
+            sets = shingles(data[at[0] : at[-1]], at - at[0], measure)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(low, len(sets)).cast(pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
-                    pa.array([sketch(s).tobytes() for s in sets], pa.binary()),
+                    pa.array([sketch(s, measure).tobytes() for s in sets], pa.binary()),
                 ],
                 ["node", "n", "shingles", "sketch"],
             )
 
 
-def sketch(found: np.ndarray) -> np.ndarray:
+def sketch(found: np.ndarray, measure: Measure = PAIRS) -> np.ndarray:
     """One parity bit for each residue of the hashes: two sketches differ in no more bits
     than the sets differ in shingles, and a longer one folds into a shorter one."""
-    bits = max(256, 1 << (16 * differing(2 * len(found))).bit_length())
+    bits = max(256, 1 << (16 * differing(2 * len(found), measure)).bit_length())
     parity = np.bincount((found & U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(parity.astype(np.uint8)).view(U)
 
@@ -170,7 +224,7 @@ def fold(words: np.ndarray, length: int) -> np.ndarray:
     return words
 
 
-def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def verified(batches: Iterator[pa.RecordBatch], measure: Measure = PAIRS) -> Iterator[pa.RecordBatch]:
     """Of candidate pairs with their shingles, those that link."""
     for batch in batches:
         a, b = batch.column("a_shingles"), batch.column("b_shingles")
@@ -180,11 +234,11 @@ def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.searchsorted(x, y)
             at[at == len(x)] = 0
             same = int((x[at] == y).sum())
-            good[i] = 10 * same >= TENTHS * (len(x) + len(y) - same)
+            good[i] = 10 * same >= measure.tenths * (len(x) + len(y) - same)
         yield batch.select(["a", "b"]).filter(pa.array(good))
 
 
-def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def close_pairs(batches: Iterator[pa.RecordBatch], measure: Measure = PAIRS) -> Iterator[pa.RecordBatch]:
     """Pairs of different components whose sketches allow a link, from sorted groups.
 
     A group (key, i, j) holds at most two chunks of one list; those of chunk i meet those
@@ -200,8 +254,8 @@ def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = []
         for x in np.flatnonzero(left):
             total = n[x] + n[r]
-            allowed = total - 2 * -(-TENTHS * total // (10 + TENTHS))
-            keep = (component[r] != component[x]) & (10 * np.minimum(n[x], n[r]) >= TENTHS * np.maximum(n[x], n[r]))
+            allowed = total - 2 * -(-measure.tenths * total // (10 + measure.tenths))
+            keep = (component[r] != component[x]) & (10 * np.minimum(n[x], n[r]) >= measure.tenths * np.maximum(n[x], n[r]))
             if keep.any():
                 y = r[keep]
                 apart = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1)
@@ -232,33 +286,32 @@ def _columns(rows: list[tuple]) -> dict:
     }
 
 
-def choose_boundary(sizes: dict[int, int]) -> int:
-    """The largest size to enumerate, from the number of sets of each size up to LIGHT_MOST."""
-    best, least, saved = TENTHS - 1, 0.0, 0.0
-    for n in range(TENTHS, LIGHT_MOST + 1):
-        subsets = sum(comb(n, k) for k in range((10 - TENTHS) * n // 10 + 1))
-        entries = sum(differing(2 * int(_BOUNDS[c + 1])) + 1 for c in size_classes(n))
-        saved += sizes.get(n, 0) * (subsets - SCAN_COST * entries)
-        if saved < least:
-            best, least = n, saved
+def choose_boundary(sizes: dict[int, int], measure: Measure = PAIRS) -> int:
+    """The largest size to enumerate, from the number of sets of each size up to `light_most`."""
+    best, lowest, saved = measure.least - 1, 0.0, 0.0
+    for n in range(measure.least, measure.light_most + 1):
+        entries = sum(measure.blocks(c)[0] for c in size_classes(n, measure))
+        saved += sizes.get(n, 0) * (measure.subsets(n) - SCAN_COST * entries)
+        if saved < lowest:
+            best, lowest = n, saved
     return best
 
 
-def _size_fits(n: str, m: str):
-    return 10 * F.least(F.col(n), F.col(m)) >= TENTHS * F.greatest(F.col(n), F.col(m))
+def _size_fits(n: str, m: str, measure: Measure):
+    return 10 * F.least(F.col(n), F.col(m)) >= measure.tenths * F.greatest(F.col(n), F.col(m))
 
 
-def _verify(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, arrays: DataFrame, measure: Measure) -> DataFrame:
     a = arrays.select(F.col("node").alias("a"), F.col("shingles").alias("a_shingles"))
     b = arrays.select(F.col("node").alias("b"), F.col("shingles").alias("b_shingles"))
-    return pairs.select("a", "b").join(a, "a").join(b, "b").mapInArrow(verified, "a long, b long")
+    return pairs.select("a", "b").join(a, "a").join(b, "b").mapInArrow(partial(verified, measure=measure), "a long, b long")
 
 
-def linked_components(docs: DataFrame) -> DataFrame:
+def linked_components(docs: DataFrame, measure: Measure = PAIRS) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of `docs` (doc_id, text)."""
     scratch = Scratch(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = scratch.keep(texts.mapInArrow(set_rows, SETS), "sets")
+    sets = scratch.keep(texts.mapInArrow(partial(set_rows, measure=measure), SETS), "sets")
     same_set = ["c1", "c2", "n_shingles"]
     # Written, so that the join has a shuffle on either side and splits classes of very many copies.
     classes = scratch.keep(sets.where("n_shingles > 0").groupBy(*same_set).agg(F.min("doc_id").alias("node")), "classes")
@@ -269,12 +322,12 @@ def linked_components(docs: DataFrame) -> DataFrame:
     entries = sets.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "light", "heavy").join(
         nodes, ["node", "n"], "left_semi"
     )
-    counts = nodes.where(F.col("n") <= LIGHT_MOST).groupBy("n").count().collect()  # at most LIGHT_MOST rows
-    boundary = choose_boundary({r["n"]: r["count"] for r in counts})
+    counts = nodes.where(F.col("n") <= measure.light_most).groupBy("n").count().collect()  # at most light_most rows
+    boundary = choose_boundary({r["n"]: r["count"] for r in counts}, measure)
 
     light = entries.where(F.col("n") <= boundary).select("node", "n", F.explode("light").alias("key"))
     # Sets just below the boundary are in the lists too, for their links with larger ones.
-    in_lists = F.col("n") * 10 >= F.lit(TENTHS * (boundary + 1))
+    in_lists = F.col("n") * 10 >= F.lit(measure.tenths * (boundary + 1))
     heavy = scratch.keep(entries.where(in_lists).select("node", "n", F.explode("heavy").alias("key")), "heavy")
 
     smallest = light.groupBy("key").agg(F.min(F.struct("n", "node")).alias("hub"), F.count("*").alias("len"))
@@ -282,7 +335,7 @@ def linked_components(docs: DataFrame) -> DataFrame:
     by_subset = (
         light.join(smallest.where("len > 1"), "key")
         .where(F.col("node") != F.col("hub.node"))
-        .where((10 + TENTHS) * common >= TENTHS * (F.col("n") + F.col("hub.n")))
+        .where((10 + measure.tenths) * common >= measure.tenths * (F.col("n") + F.col("hub.n")))
         .select(F.col("node").alias("a"), F.col("hub.node").alias("b"))
     )
 
@@ -302,17 +355,17 @@ def linked_components(docs: DataFrame) -> DataFrame:
     )
     stars = (
         shared.join(hubs, "key")
-        .where((F.col("node") != F.col("hub")) & _size_fits("n", "m"))
+        .where((F.col("node") != F.col("hub")) & _size_fits("n", "m", measure))
         .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
         .distinct()
     )
     arrays = scratch.keep(
         texts.join(shared.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .mapInArrow(array_rows, "node long, n long, shingles binary, sketch binary")
+        .mapInArrow(partial(array_rows, measure=measure), "node long, n long, shingles binary, sketch binary")
         .dropDuplicates(["node", "n"]),
         "arrays",
     )
-    first = scratch.keep(_verify(stars, arrays).unionByName(by_subset).distinct(), "first")
+    first = scratch.keep(_verify(stars, arrays, measure).unionByName(by_subset).distinct(), "first")
     scratch.clear("heavy")
     parts = connected_components(first, scratch, "parts")
 
@@ -343,10 +396,10 @@ def linked_components(docs: DataFrame) -> DataFrame:
         .join(arrays.select("node", "n", "sketch"), ["node", "n"])
         .repartition("key", "i", "j")
         .sortWithinPartitions("key", "i", "j")
-        .mapInArrow(close_pairs, "a long, b long")
+        .mapInArrow(partial(close_pairs, measure=measure), "a long, b long")
         .distinct()
     )
-    second = scratch.keep(first.unionByName(_verify(crossing, arrays)), "second")
+    second = scratch.keep(first.unionByName(_verify(crossing, arrays, measure)), "second")
     scratch.clear("arrays", "shared")
     whole = connected_components(second, scratch, "whole")
     grouped = (
@@ -358,13 +411,13 @@ def linked_components(docs: DataFrame) -> DataFrame:
 
 
 
-def representatives(docs: DataFrame) -> DataFrame:
+def representatives(docs: DataFrame, measure: Measure = PAIRS) -> DataFrame:
     """The rows of `docs` whose id is the smallest of their group, one row for an id.
 
     Only ids of groups with several rows are looked up, and the texts are not shuffled
     where these are few. Of rows that share an id one stays; rows without one all stay.
     """
-    found = linked_components(docs).select("doc_id", "component_id")
+    found = linked_components(docs, measure).select("doc_id", "component_id")
     rows = Scratch(docs.sparkSession).keep(found, "components")
     gone = rows.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
     kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
