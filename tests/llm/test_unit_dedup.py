@@ -62,3 +62,48 @@ def test_repeated_rows_and_empty(spark):
     assert result(spark, rows) == [(5, 0, 11, 5, 0), (None, 0, 11, 5, 0)]
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert unit_dedup.repeated_units(docs).collect() == []
+
+
+def lines_of(rows):
+    """Repeated lines, split by hand: every line that is not blank counts, however short."""
+    seen, out = {}, set()
+    for doc_id, text in rows:
+        at = 0
+        for line in (text or "").split("\n"):
+            key = " ".join(line.lower().split())
+            start = at + len(line) - len(line.lstrip())
+            if key in seen:
+                out.add((doc_id, start, at + len(line.rstrip()), *seen[key]))
+            elif key:
+                seen[key] = (doc_id, start)
+            at += len(line) + 1
+    return out
+
+
+def test_every_repeated_line_goes_whatever_its_length(spark):
+    han = "".join(chr(0x4E00 + i) for i in range(200))
+    rows = [
+        (1, f"All rights reserved.\nHome | About\n{han}\nOne two three four five. A tail"),
+        (2, f"Other text\n  all  rights reserved.\t\n\n{han}\nhome | about\nx"),
+        (3, "One two three four five. A tail\nA tail\nSix seven eight nine ten eleven. a tail"),
+        (4, "x\nSix seven eight nine ten eleven! One two three four five. Twelve"),
+        (5, "a tail"),
+    ]
+    got = result(spark, rows)
+    lines = lines_of(rows)
+    assert len(lines) == 6 and lines <= set(got)
+    # Beside these only the sentence that stands in a line of its own right.
+    assert set(got) - lines == {(4, 35, 59, 1, 31 + len(han) + 4)}
+    assert len(got) == len(set(got))
+    assert {r[:3] for r in lines_of(corpus())} <= {r[:3] for r in result(spark, corpus())}
+
+
+def test_removed_units_do_not_overlap(spark):
+    line = "One two three four five. Six seven eight nine ten eleven. Rest"
+    rows = [(1, line), (2, f"y\n{line}\nz"), (3, f"Six seven eight nine ten eleven. Other {line}")]
+    got = result(spark, rows)
+    assert [r[:3] for r in got if r[0] == 2] == [(2, 2, 2 + len(line))]
+    for a in got:
+        assert not any(a is not b and a[0] == b[0] and a[1] < b[2] and b[1] < a[2] for b in got)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in unit_dedup.without_repeats(docs).collect()}[2] == "y\n\nz"
