@@ -327,8 +327,11 @@ def write_json_arrays(df: DataFrame, path: str, bytes_per_file: int = 32 << 20)
 
 
 def _copy_id() -> Column:
-    """Part and supplier as one number."""
-    return F.col("l_partkey") * 10_000 + F.col("l_suppkey")
+    """Part and supplier as one number: four digits for the supplier, or a negative number with
+    32 bits for a longer supplier key, so that no two copies share it."""
+    part, supplier = F.col("l_partkey").cast("long"), F.col("l_suppkey").cast("long")
+    wide = -(F.shiftleft(part, 32).bitwiseOR(supplier))
+    return F.when(supplier < 10_000, part * 10_000 + supplier).otherwise(wide)
 
 
 def _rental_id() -> Column:

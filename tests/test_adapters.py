@@ -1,0 +1,18 @@
+from pyspark.sql import functions as F
+
+from rentlake.operators.integrity import duplicate_keys
+from rentlake.plans.adapters import RentalData
+
+
+def test_copies_of_many_suppliers_do_not_share_an_id(spark, folder):
+    pairs = [(1, 10_001), (2, 1), (1, 20_001), (3, 1), (2, 10_001), (1, 9_999), (1, 10_000), (2, 0), (0, 10_000), (1, 0)]
+    lines = spark.createDataFrame(pairs * 2, "l_partkey long, l_suppkey long")
+    lines.write.parquet(f"{folder}/lineitem.parquet")
+    lines.select(F.col("l_suppkey").alias("s_suppkey"), (F.col("l_suppkey") % 25).alias("s_nationkey")).distinct().write.parquet(
+        f"{folder}/supplier.parquet"
+    )
+    copies = RentalData(spark, folder).inventory
+    assert duplicate_keys(copies, ["inventory_id"]).count() == 0
+    assert copies.count() == len(pairs)
+    # Keys of up to four digits keep the ids that the SQL texts give them.
+    assert {r["inventory_id"] for r in copies.where("film_id = 2 and store_id in (0, 1)").collect()} >= {20_000, 20_001}
