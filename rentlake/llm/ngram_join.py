@@ -325,10 +325,12 @@ def linked_components(docs: DataFrame, measure: Measure = PAIRS) -> DataFrame:
     counts = nodes.where(F.col("n") <= measure.light_most).groupBy("n").count().collect()  # at most light_most rows
     boundary = choose_boundary({r["n"]: r["count"] for r in counts}, measure)
 
-    light = entries.where(F.col("n") <= boundary).select("node", "n", F.explode("light").alias("key"))
+    light = scratch.keep(entries.where(F.col("n") <= boundary).select("node", "n", F.explode("light").alias("key")), "light")
+    empty = scratch.keep(sets.where("n_shingles = 0").select("doc_id", "n_shingles"), "empty")
     # Sets just below the boundary are in the lists too, for their links with larger ones.
     in_lists = F.col("n") * 10 >= F.lit(measure.tenths * (boundary + 1))
     heavy = scratch.keep(entries.where(in_lists).select("node", "n", F.explode("heavy").alias("key")), "heavy")
+    scratch.clear("sets")
 
     smallest = light.groupBy("key").agg(F.min(F.struct("n", "node")).alias("hub"), F.count("*").alias("len"))
     common = F.col("key").bitwiseAND(F.lit(255))
@@ -346,6 +348,7 @@ def linked_components(docs: DataFrame, measure: Measure = PAIRS) -> DataFrame:
         .select("key", "len")
     )
     shared = scratch.keep(heavy.join(lists, "key"), "shared")
+    scratch.clear("heavy")
     central = shared.groupBy("node").agg(F.sum("len").alias("centrality"))
     hubs = (
         shared.join(central, "node")
@@ -366,7 +369,7 @@ def linked_components(docs: DataFrame, measure: Measure = PAIRS) -> DataFrame:
         "arrays",
     )
     first = scratch.keep(_verify(stars, arrays, measure).unionByName(by_subset).distinct(), "first")
-    scratch.clear("heavy")
+    scratch.clear("light")
     parts = connected_components(first, scratch, "parts")
 
     labelled = shared.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -406,7 +409,7 @@ def linked_components(docs: DataFrame, measure: Measure = PAIRS) -> DataFrame:
         members.join(whole, "node", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
     )
-    alone = sets.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    alone = empty.withColumn("component_id", F.col("doc_id"))
     return grouped.unionByName(alone)
 
 
