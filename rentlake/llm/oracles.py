@@ -83,4 +83,42 @@ _JACCARD = f"""with recursive words as (select doc_id, regexp_extract_all(
     select doc_id, any_value(n) as n_shingles, min(other) as component_id from reached join sizes using (doc_id)
     group by doc_id"""
 
-ORACLES: dict[str, str] = {"op2_secret_scan": _SECRET_SCAN, "op3_ngram_jaccard_join": _JACCARD}
+_LEXICAL = r"""with found as (select doc_id, 1 as one, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents),
+    tf as (select doc_id, term, count(*) as tf from found group by all),
+    lengths as (select doc_id, sum(tf)::bigint as n from tf group by all),
+    corpus as (select count(*) as docs, sum(n)::bigint as terms from lengths),
+    df as (select term, count(*) as df from tf group by all),
+    damping as (select doc_id, 100 - 90 + ((90 * n * docs) // terms) as m from lengths, corpus),
+    asked as (select distinct item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+    weights as (select item_id, term, floor(1000 * ln((2.0::double * docs + 2) / (2.0::double * df + 1)))::bigint as w
+        from asked join df using (term), corpus),
+    scores as (select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+        from weights join tf using (term) join damping using (doc_id) group by all)
+    select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+    from scores where score > 0 qualify rank <= 10"""
+
+_FILL_MIDDLE = r"""with cut as (select doc_id, coalesce(text, '') as t, sha256('7:' || doc_id) as h,
+        regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as units from documents),
+    drawn as (select *, len(units) as n, ('0x' || h[1:8])::bigint % (len(units) + 1) as a,
+        ('0x' || h[9:16])::bigint % (len(units) + 1) as b,
+        case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') then 'plain'
+            when ('0x' || h[25:32])::bigint % 100 < 50 then 'spm' else 'psm' end as form from cut),
+    parts as (select *, array_to_string(units[1:least(a, b)], '') as prefix,
+        array_to_string(units[least(a, b) + 1:greatest(a, b)], '') as middle,
+        array_to_string(units[greatest(a, b) + 1:n], '') as suffix from drawn)
+    select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+        case when form <> 'plain' then length(middle) end as middle_chars,
+        sha256(case form when 'psm' then concat('<P>', prefix, '<S>', suffix, '<M>', middle)
+            when 'spm' then concat('<S>', suffix, '<P>', prefix, '<M>', middle) else t end) as output_sha256,
+        sha256(t) as restored_sha256 from parts"""
+
+ORACLES: dict[str, str] = {
+    "op2_secret_scan": _SECRET_SCAN,
+    "op3_ngram_jaccard_join": _JACCARD,
+    "op12_lexical_search": _LEXICAL,
+    "op13_fill_in_middle": _FILL_MIDDLE,
+}

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rentlake.llm import (
+    fill_middle,
     fingerprints,
     language_id,
+    lexical_search,
     mixing,
     ngram_join,
     oracles,
@@ -19,7 +21,7 @@ from rentlake.llm import (
     toxicity,
     unit_dedup,
 )
-from rentlake.llm.scratch import documents, labels
+from rentlake.llm.scratch import benchmark, documents, labels
 
 
 def tokenizer_path() -> str:
@@ -69,6 +71,14 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(documents(spark, sf_dir)).drop("changed", "changed_to")
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -82,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mixing,
         op9_quality_rules,
         op10_fingerprints,
+        op12_lexical_search,
+        op13_fill_in_middle,
     )
 }
 
