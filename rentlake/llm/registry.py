@@ -17,6 +17,7 @@ from rentlake.llm import (
     packing,
     quality_rules,
     secrets,
+    sharding,
     suffix_dedup,
     toxicity,
     unit_dedup,
@@ -71,6 +72,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(documents(spark, sf_dir)).drop("changed", "changed_to")
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(documents(spark, sf_dir))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.rank(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mixing,
         op9_quality_rules,
         op10_fingerprints,
+        op11_sharding,
         op12_lexical_search,
         op13_fill_in_middle,
     )
