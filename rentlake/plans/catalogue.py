@@ -10,10 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from rentlake.functions import calendar, capitalise
-from rentlake.operators import changes, integrity, reports
+from rentlake.operators import changes, integrity, ordered, reports
 from rentlake.operators.joins import lookup_join
 from rentlake.plans import gold, marts, routines
 from rentlake.plans.adapters import RentalData, write_json_arrays
@@ -96,6 +95,29 @@ def film_list_capitalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.film_list_capitalised(d.film, d.film_category, d.category, d.film_actor, d.actor)
 
 
+@query
+def film_list_assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The film list, its long lists sorted in runs by many tasks."""
+    d = RentalData(spark, sf_dir)
+    return marts.film_list(d.film, d.film_category, d.category, d.film_actor, d.actor, assembled=True)
+
+
+@query
+def film_list_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every actor of the film list with its place there, read back from the runs and their offsets."""
+    d = RentalData(spark, sf_dir)
+    cast_members = lookup_join(d.film_actor, d.actor.select("actor_id", F.concat_ws(" ", "first_name", "last_name").alias("name")), "actor_id")
+    runs = ordered.ordered_runs(cast_members, ["film_id"], "name", ["name", "actor_id"], ", ", "names")
+    each = runs.select("film_id", "first_item", F.posexplode(F.split("names", ", ")).alias("at", "name"))
+    return each.select("film_id", "name", (F.col("first_item") + F.col("at") + 1).alias("place"))
+
+
+@query
+def actor_info_assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = RentalData(spark, sf_dir)
+    return marts.actor_info(d.actor, d.film_actor, d.film, d.film_category, d.category, assembled=True)
+
+
 @query
 def actor_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = RentalData(spark, sf_dir)
@@ -174,31 +196,31 @@ for _name in VIEW_QUERIES:
     query(_view_query(_name))
 
 
-def _ranked(df: DataFrame) -> DataFrame:
-    """An ordered result with the place of each row in that order."""
-    return df.withColumn("at", F.monotonically_increasing_id()).withColumn(
-        "place", F.row_number().over(Window.orderBy("at"))
-    ).drop("at")
-
-
 @query
 def gold_customer_spend_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ranked(gold_customer_spend(spark, sf_dir)).select("customer_name", "place")
+    return ordered.places(gold_customer_spend(spark, sf_dir)).select("customer_name", "place")
 
 
 @query
 def sales_by_store_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ranked(sales_by_store(spark, sf_dir)).select("store", "place")
+    return ordered.places(sales_by_store(spark, sf_dir)).select("store", "place")
 
 
 @query
 def sales_by_category_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ranked(sales_by_category(spark, sf_dir)).select("category", "place")
+    return ordered.places(sales_by_category(spark, sf_dir)).select("category", "place")
 
 
 @query
 def document_find_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ranked(document_find(spark, sf_dir)).select("event_id", "place")
+    return ordered.places(document_find(spark, sf_dir)).select("event_id", "place")
+
+
+@query
+def orders_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders by date, dearest first, each with its place."""
+    orders = RentalData(spark, sf_dir).raw("orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return ordered.ranked(orders, ["o_orderdate", F.desc("o_totalprice"), "o_orderkey"]).select("o_orderkey", "place")
 
 
 # ---- business rules ------------------------------------------------------------

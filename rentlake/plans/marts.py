@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from rentlake.functions import capitalise, full_name, ordered_concat, ordered_parts
 from rentlake.operators.joins import hot_keys, lookup_join, salted_join
+from rentlake.operators.ordered import assembled_concat
 
 
 def _places(address: DataFrame, city: DataFrame, country: DataFrame) -> DataFrame:
@@ -59,16 +60,18 @@ def film_list(
     actor: DataFrame,
     name: Callable[[], Column] | None = None,
     in_parts: bool = False,
+    assembled: bool = False,
 ) -> DataFrame:
     """One row per film and category name with the film's actors, in name order.
 
     Films without a category or without actors are left out. The group keeps only
     keys and names while it is built; the film's own columns are joined at the end.
     `in_parts` gives a long list as several rows, numbered by `part`, none of which
-    outgrows a shuffle partition.
+    outgrows a shuffle partition; `assembled` sorts long lists in many tasks and gives
+    the same texts as without it.
     """
     actor_name = name() if name else full_name("first_name", "last_name")
-    build = ordered_parts if in_parts else ordered_concat
+    build = ordered_parts if in_parts else assembled_concat if assembled else ordered_concat
     labelled = lookup_join(
         film_category.select("film_id", "category_id"),
         category.select("category_id", F.col("name").alias("category")),
@@ -175,11 +178,21 @@ def _filed_appearances(film_actor: DataFrame, film: DataFrame, film_category: Da
 
 
 def actor_info(
-    actor: DataFrame, film_actor: DataFrame, film: DataFrame, film_category: DataFrame, category: DataFrame
+    actor: DataFrame,
+    film_actor: DataFrame,
+    film: DataFrame,
+    film_category: DataFrame,
+    category: DataFrame,
+    assembled: bool = False,
 ) -> DataFrame:
-    """Actors with `Category: title, title; Category: title`; NULL where there is no film."""
+    """Actors with `Category: title, title; Category: title`; NULL where there is no film.
+
+    `assembled` sorts long lists of titles in many tasks; an actor's sections are no more
+    than there are categories, and need no such care.
+    """
     filed = _filed_appearances(film_actor, film, film_category)
-    titles = ordered_concat(filed, ["actor_id", "category_id"], "title", ["title", "film_id"], ", ", "titles")
+    build = assembled_concat if assembled else ordered_concat
+    titles = build(filed, ["actor_id", "category_id"], "title", ["title", "film_id"], ", ", "titles")
     sections = (
         lookup_join(titles, category.select("category_id", "name"), "category_id", keys_in=film_category)
         .select("actor_id", "name", F.concat("name", F.lit(": "), "titles").alias("film_info"))

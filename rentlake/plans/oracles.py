@@ -473,17 +473,27 @@ ORACLES |= {
     "view_actor_info": f"""select first_name, count(*) as n_actors, cast(sum(length(film_info)) as bigint) as n_letters
         from ({ORACLES['actor_info']}) group by first_name""",
     "gold_customer_spend_in_order": f"""select customer_name,
-        cast(row_number() over (order by total_rental_price desc, customer_name) as int) as place
+        cast(row_number() over (order by total_rental_price desc, customer_name) as bigint) as place
         from ({ORACLES['gold_customer_spend']})""",
     "sales_by_store_in_order": _with(
         "line rental copy place sold",
         """select concat(n_name, ',', r_name) as store,
-            cast(row_number() over (order by r_name, n_name, store_id) as int) as place
+            cast(row_number() over (order by r_name, n_name, store_id) as bigint) as place
         from (select distinct store_id from sold join copy using (inventory_id)) join place on n_nationkey = store_id""",
     ),
     "sales_by_category_in_order": f"""select category,
-        cast(row_number() over (order by total_sales desc, category) as int) as place
+        cast(row_number() over (order by total_sales desc, category) as bigint) as place
         from ({ORACLES['sales_by_category']})""",
     "document_find_in_order": f"""select event_id,
-        cast(row_number() over (order by value desc, event_id) as int) as place from ({ORACLES['document_find']})""",
+        cast(row_number() over (order by value desc, event_id) as bigint) as place from ({ORACLES['document_find']})""",
+    "film_list_assembled": _FILMS,
+    "actor_info_assembled": ORACLES["actor_info"],
+    "film_list_runs": _with(
+        "played",
+        f"""select film_id, name, row_number() over (partition by film_id order by name, actor_id) as place
+        from (select film_id, actor_id, concat({_FIRST}, ' ', split_part(s_name, '#', 2)) as name
+            from played join supplier on s_suppkey = actor_id)""",
+    ),
+    "orders_ranked": """select o_orderkey,
+        row_number() over (order by o_orderdate, o_totalprice desc, o_orderkey) as place from orders""",
 }
