@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rentlake.sources.versions import BucketedTable
+
 
 def differs(columns: Sequence[str], null_safe: bool = False) -> Column:
     """Has any column changed?
@@ -115,3 +117,17 @@ def apply_changes(
 ) -> DataFrame:
     """The derived table after a whole set of changes; the latest change per key wins."""
     return apply_events(base, key_events(changes, key, values, null_safe), key, values)
+
+
+def apply_changes_by_bucket(
+    table: BucketedTable, version: int, changes: DataFrame, values: Sequence[str], null_safe: bool = False
+) -> int:
+    """`apply_changes` on a bucketed table of one key: a new version, of which only the buckets
+    of keys with an event are read and written. Returns its number.
+
+    A key change has an event for either key, so what it needs of the base is at hand.
+    """
+    (key,) = table.keys
+    events = key_events(changes, key, values, null_safe)
+    touched = table.touched(events)
+    return table.replace(version, touched, apply_events(table.read(version, touched), events, key, values))

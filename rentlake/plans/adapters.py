@@ -317,7 +317,12 @@ def write_json_arrays(df: DataFrame, path: str, bytes_per_file: int = 32 << 20)
     rows are distributed and however wide they are; one larger row is an array of its own.
     """
     whole = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    texts = df.select(whole.alias("doc"), F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("at"))
+    return write_arrays_of(df.select(whole.alias("doc")), path, bytes_per_file)
+
+
+def write_arrays_of(docs: DataFrame, path: str, bytes_per_file: int = 32 << 20) -> str:
+    """Write texts (a column `doc`), sound JSON or not, as the elements of such files."""
+    texts = docs.select("doc", F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("at"))
     along = Window.partitionBy("task").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     place = F.floor(F.sum(F.octet_length("doc")).over(along) / bytes_per_file)
     arrays = texts.withColumn("place", place).groupBy("task", "place").agg(F.collect_list("doc").alias("docs"))

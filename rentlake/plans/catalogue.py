@@ -15,11 +15,12 @@ from rentlake.functions import calendar, capitalise
 from rentlake.operators import changes, integrity, ordered, reports
 from rentlake.operators.joins import lookup_join
 from rentlake.plans import gold, marts, routines
-from rentlake.plans.adapters import RentalData, write_json_arrays
+from rentlake.plans.adapters import RentalData, write_arrays_of, write_json_arrays
 from rentlake.plans.oracles import ORACLES
-from rentlake.sources import dimensions, documents, files, tables
+from rentlake.sources import dimensions, documents, files, salvage, tables
+from rentlake.sources.versions import BucketedTable
 from rentlake.streaming import changes as change_stream
-from rentlake.streaming import ingest, medallion
+from rentlake.streaming import content, ingest, medallion, quarantine
 from rentlake.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -414,6 +415,33 @@ def silver_late_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.drop("receipt_time", "source_file")
 
 
+@query
+def silver_selective_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver built without furniture customers and odd staff, completed as they arrive: customers in two parts, then staff."""
+    d, work = RentalData(spark, sf_dir), Workspace(spark)
+    dims = _dims(d, work)
+    odd, furniture = F.col("staff_key") % 2 == 1, F.col("email").endswith("@furniture")
+    first = F.col("customer_key") % 3 == 0
+    known = {**dims, "customers": dims["customers"].where(~furniture), "staff": dims["staff"].where(~odd)}
+    bronze = _bronze_rentals(d, work)
+    medallion.run_silver_split(spark, bronze, known, work.path("silver"), work.path("silver_checkpoint"))
+    schema = medallion.split_rentals(spark.table(bronze), **dims).schema
+    whole = medallion.silver_of(spark, work.path("silver"), schema)
+    table = quarantine.filed(spark, work.path("waiting"), schema["rental"].dataType, 64)
+    table.create(medallion.waiting_of(spark, work.path("silver"), schema))
+    version = 0
+    for name, rows in (
+        ("customers", dims["customers"].where(furniture & first)),
+        ("customers", dims["customers"].where(furniture & ~first)),
+        ("staff", dims["staff"].where(odd)),
+    ):
+        known[name] = known[name].unionByName(rows)
+        path = work.path(f"replay_{version}")
+        version = quarantine.replay_arrived(table, version, {name: rows}, known, path)
+        whole = whole.unionByName(quarantine.completed(spark, path, schema))
+    return whole.drop("receipt_time", "source_file")
+
+
 @query
 def lakehouse_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files to dimension tables, raw files to bronze and silver over those tables, and gold as a table."""
@@ -462,6 +490,50 @@ def stream_corrupt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).groupBy(broken).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query
+def stream_same_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers landed as JSON arrays, then the same files again under other names, then a restart."""
+    work = Workspace(spark)
+    customers = RentalData(spark, sf_dir).raw("customer")
+    write_json_arrays(customers, work.path("landing/first"), 64 << 10)
+    table = work.table("contents")
+
+    def take() -> None:
+        content.ingest_contents(
+            spark, work.path("landing/*"), customers.schema, table, work.path("checkpoint"), work.path("contents")
+        )
+
+    take()
+    copies = spark.read.text(work.path("landing/first"))
+    copies.write.option("maxRecordsPerFile", 1).text(work.path("landing/copies"))
+    take()
+    take()
+    return salvage.good_rows(spark.table(table)).select(*customers.columns)
+
+
+@query
+def stream_salvaged_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers landed as JSON arrays, some with a word for a balance, some without their end: what is kept, and why not."""
+    work = Workspace(spark)
+    customers = RentalData(spark, sf_dir).raw("customer")
+    doc, key = F.to_json(F.struct(*customers.columns), {"ignoreNullFields": "false"}), F.col("c_custkey")
+    faulty = (
+        F.when(key % 50 == 7, F.regexp_replace(doc, '"c_acctbal":[^,]*', '"c_acctbal":"unknown"'))
+        .when(key % 50 == 11, F.substring(doc, F.lit(1), F.length(doc) - 5))
+        .otherwise(doc)
+    )
+    write_arrays_of(customers.select(faulty.alias("doc")), work.path("landing"), 64 << 10)
+    table = work.table("salvaged")
+    content.ingest_contents(
+        spark, work.path("landing"), customers.schema, table, work.path("checkpoint"), work.path("salvaged")
+    )
+    found = spark.table(table)
+    named = F.regexp_extract("element", r'"c_custkey":(\d+)', 1).cast("bigint")
+    return found.select(
+        F.coalesce("row.c_custkey", named).alias("c_custkey"), F.col("row.c_acctbal").alias("c_acctbal"), "reason"
+    )
+
+
 @query
 def gold_from_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files to bronze, silver and gold."""
@@ -601,6 +673,19 @@ def apply_changes_absent_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.apply_changes(base, d.film_changes, "film_id", FILM_TEXT)
 
 
+@query
+def apply_changes_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same change set over a bucketed table, in two versions: early changes, then late ones."""
+    work = Workspace(spark)
+    d = RentalData(spark, sf_dir)
+    table = BucketedTable(spark, work.path("film_text"), d.film_text.schema, ["film_id"], 64)
+    table.create(d.film_text)
+    version = 0
+    for part in ("seq % 3 = 0", "seq % 3 <> 0"):
+        version = changes.apply_changes_by_bucket(table, version, d.film_changes.where(part), FILM_TEXT)
+    return table.read(version)
+
+
 @query
 def apply_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same change set landed as files and followed in several batches."""

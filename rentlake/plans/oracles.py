@@ -496,4 +496,9 @@ ORACLES |= {
     ),
     "orders_ranked": """select o_orderkey,
         row_number() over (order by o_orderdate, o_totalprice desc, o_orderkey) as place from orders""",
+    "stream_same_content": "select * from customer",
+    "stream_salvaged_elements": """select c_custkey, case when c_custkey % 50 not in (7, 11) then c_acctbal end as c_acctbal,
+        case c_custkey % 50 when 7 then 'wrong type: c_acctbal' when 11 then 'not valid JSON' end as reason from customer""",
+    "silver_selective_replay": ORACLES["silver_stream_enrich"],
+    "apply_changes_by_bucket": ORACLES["apply_changes"],
 }

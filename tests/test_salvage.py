@@ -1,0 +1,101 @@
+import os
+import shutil
+from decimal import Decimal
+
+import pytest
+
+from rentlake.sources import salvage
+from rentlake.streaming import content
+from tests.conftest import rows, write
+
+SCHEMA = "a bigint, b string, d decimal(20,2)"
+NAMES = ("a", "b", "d")
+
+
+def found(spark, *texts):
+    files = spark.createDataFrame(list(enumerate(texts)), "file int, text string")
+    return {(r["file"], r["position"]): (r["row"] and tuple(r["row"]), r["reason"], r["element"]) for r in salvage.elements(files, SCHEMA).collect()}
+
+
+@pytest.mark.parametrize(
+    ("bad", "reason"),
+    [
+        ('{"a":"x","b":"y"}', "wrong type: a"),
+        ('{"a":1.5,"d":[1]}', "wrong type: a, d"),
+        ('{"a":,"b":"y"}', "not valid JSON"),
+        ('{"a": 3, "b": "open}', "not valid JSON"),
+        ('{"a": 3, "b": "open', "not valid JSON"),
+        ('{"a": 3, "n": [{"x": 1}, {"y": 2}], "b": }', "not valid JSON"),
+        ('{"a": 3}}', "not valid JSON"),
+        ("word", "not valid JSON"),
+        ("7", "not an object"),
+        ("null", "not an object"),
+        ("[1, 2]", "not an object"),
+    ],
+)
+def test_one_bad_element_costs_itself_only(spark, bad, reason):
+    good = ['{"a":%d,"b":"v, {%d}","d":%d.50}' % (i, i, i) for i in range(6)]
+    for at in range(6):
+        texts = [*good[:at], bad, *good[at:]]
+        got = found(spark, "[" + ", ".join(texts) + "]")
+        rows_of = [got[0, k][0] for k in range(len(got)) if got[0, k][1] is None]
+        assert rows_of == [(i, f"v, {{{i}}}", Decimal(f"{i}.50")) for i in range(6)]
+        assert [(k, v[1]) for (_, k), v in got.items() if v[1]] == [(at, reason)]
+
+
+def test_files_cut_off_empty_single_and_null(spark):
+    got = found(spark, '[{"a":1}, {"a":2}, {"a": 3, "b": "cu', "", None, "[]", " \n", '{"a":9}', '[{"a":1}', '[{"a":1},]', '[{"a":1}{"a":2}]', "garbage")
+    kept = {key: row[0] for (key, (row, reason, _)) in got.items() if reason is None}
+    assert kept == {(0, 0): 1, (0, 1): 2, (5, 0): 9, (6, 0): 1, (7, 0): 1}
+    assert got[0, 2][1:] == ("cut off", '{"a": 3, "b": "cu')
+    assert {k: v[1] for k, v in got.items() if k[0] > 7} == {(8, 0): "not valid JSON", (9, 0): "not valid JSON"}
+
+
+def test_numbers_keep_their_digits_and_missing_fields_are_null(spark):
+    got = found(spark, '[{"d":123456789012345678.91},{"b":null,"extra":5},{"a":1}]', '[{"d":123456789012345678.91},{"a":}]')
+    assert got[0, 0][0] == got[1, 0][0] == (None, None, Decimal("123456789012345678.91"))
+    assert got[0, 1][0] == (None, None, None) and got[0, 2][0] == (1, None, None)
+
+
+def test_deep_and_long_elements_end():
+    deep = "[" + '{"a":' * 3000 + "1"
+    assert [f for _, f in salvage.broken_elements(deep, NAMES)] == ["cut off"]
+    long = "[" + ",".join('{"a":%d}' % i for i in range(20_000)) + ',{"a"'
+    assert [f for _, f in salvage.broken_elements(long, NAMES)] == [None] * 20_000 + ["cut off"]
+
+
+def test_rejects_and_rows_from_files(spark, folder):
+    write(f"{folder}/in/x.json", '[{"a":1,"b":"q"},{"a":"no"}]')
+    split = salvage.elements(salvage.read_whole(spark, f"{folder}/in"), SCHEMA)
+    assert rows(salvage.good_rows(split), "a", "b", "position") == [(1, "q", 0)]
+    assert rows(salvage.rejects(split), "position", "reason", "element") == [(1, "wrong type: a", '{"a":"no"}')]
+
+
+def test_same_content_under_another_name_adds_nothing(spark, folder):
+    """A copy, a copy within one batch, a restart, an old file time, and a third of all files alike."""
+    names = iter(range(1000))
+
+    def land(text, old=False):
+        path = write(f"{folder}/in/{next(names)}.json", text)
+        if old:
+            os.utime(path, (1, 1))
+
+    def take():
+        content.ingest_contents(spark, f"{folder}/in", SCHEMA, "contents_of_test", f"{folder}/state", f"{folder}/out")
+        return rows(spark.table("contents_of_test"), "row.a")
+
+    land('[{"a":1}]')
+    for _ in range(5):
+        land('[{"a":2},{"a":3}]')
+    assert take() == [(1,), (2,), (3,)]
+    land('[{"a":1}]')
+    land('[{"a":4}]', old=True)
+    assert take() == [(1,), (2,), (3,), (4,)]
+    assert take() == [(1,), (2,), (3,), (4,)]
+    land('[{"a":4}]', old=True)
+    land('[{"a":1} ]')
+    assert take() == [(1,), (1,), (2,), (3,), (4,)]
+    spark.sql("DROP TABLE contents_of_test")
+    shutil.copy(f"{folder}/in/0.json", f"{folder}/in/again.json")
+    spark.read.parquet(f"{folder}/out").createOrReplaceTempView("kept_contents")
+    assert spark.table("kept_contents").count() == 5

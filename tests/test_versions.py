@@ -1,0 +1,75 @@
+import pytest
+from pyspark.sql import functions as F
+
+from rentlake.operators import changes
+from rentlake.sources.versions import BucketedTable
+from tests.conftest import rows
+
+VALUES = ["title", "description"]
+
+
+def table_of(spark, folder, df, keys, buckets=32):
+    table = BucketedTable(spark, f"{folder}/table", df.schema, keys, buckets)
+    table.create(df)
+    return table
+
+
+def test_versions_share_the_buckets_that_a_change_leaves_alone(spark, folder):
+    df = spark.range(1000).select(F.col("id").alias("k"), F.concat(F.lit("v"), "id").alias("v"))
+    table = table_of(spark, folder, df, ["k"])
+    some = table.touched(df.where("k IN (3, 500)"))
+    assert len(some) <= 2
+    changed = table.read(0, some).withColumn("v", F.lit("new"))
+    assert table.replace(0, some, changed.unionByName(spark.createDataFrame([(5000, "more")], "k long, v string"))) == 1
+    before, after = table.manifest(0), table.manifest(1)
+    home = table.touched(spark.createDataFrame([(5000,)], "k long"))
+    assert {e for e in before if e[0] not in some} <= set(after)
+    assert {b for b, _ in set(after) - set(before)} == some | home
+    assert rows(table.read(0)) == rows(df)
+    got = {r["k"]: r["v"] for r in table.read(1).collect()}
+    assert len(got) == 1001 and got[3] == got[500] == "new" and got[5000] == "more"
+    with pytest.raises(Exception, match="(?i)exist"):
+        table.replace(0, some, changed)
+
+
+def test_empty_tables_null_keys_and_a_hot_key(spark, folder):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id")).alias("k"), F.lit("x").alias("v"))
+    table = table_of(spark, folder, df, ["k"], 8)
+    assert rows(table.read(0)) == rows(df)
+    nulls = table.touched(df.where("k IS NULL"))
+    assert table.read(table.replace(0, nulls, df.limit(0))).where("k IS NULL").count() == 0
+    empty = BucketedTable(spark, f"{folder}/empty", df.schema, ["k"], 8)
+    empty.create(df.limit(0))
+    assert empty.read(0).collect() == [] and empty.manifest(0) == []
+    assert empty.read(empty.replace(0, set(), df.limit(5))).count() == 5
+
+
+def change_rows(spark, keys):
+    """For each key an update; every fifth moves to a new key, every seventh is deleted; a third of all events are one key's."""
+    made = []
+    for n, k in enumerate(keys):
+        if n % 7 == 0:
+            made.append(("delete", n, k, f"t{k}", None, None, None, None))
+        elif n % 5 == 0:
+            made.append(("update", n, k, f"t{k}", None, -k - 1, f"t{k}", "moved"))
+        else:
+            made.append(("update", n, k, f"t{k}", None, k, f"u{k}", "set"))
+    for n in range(len(made) // 2):
+        made.append(("update", 100_000 + n, 4, "t4" if n == 0 else f"h{n - 1}", None, 4, f"h{n}", "hot"))
+    made.append(("insert", 200_000, None, None, None, 9_999, "new", None))
+    sides = ", ".join(f"{s}_film_id long, {s}_title string, {s}_description string" for s in ("old", "new"))
+    return spark.createDataFrame(made, f"op string, seq long, {sides}").repartition(4)
+
+
+def test_changes_write_only_the_buckets_of_their_keys(spark, folder):
+    base = spark.range(4000).select(F.col("id").alias("film_id"), F.concat(F.lit("t"), "id").alias("title"), F.lit(None).cast("string").alias("description"))
+    table = table_of(spark, folder, base, ["film_id"], 512)
+    change = change_rows(spark, range(2, 4000, 100))  # one in a hundred keys
+    version = changes.apply_changes_by_bucket(table, 0, change, VALUES)
+    assert rows(table.read(version)) == rows(changes.apply_changes(base, change, "film_id", VALUES))
+    keys = change.select(F.explode(F.array("old_film_id", "new_film_id")).alias("film_id")).where("film_id IS NOT NULL")
+    rewritten = {b for b, _ in set(table.manifest(version)) - set(table.manifest(0))}
+    assert rewritten <= table.touched(keys)
+    assert len(rewritten) < 100
+    assert changes.apply_changes_by_bucket(table, version, change.limit(0), VALUES) == version + 1
+    assert table.manifest(version + 1) == table.manifest(version)
