@@ -79,9 +79,10 @@ _JACCARD = f"""with recursive words as (select doc_id, regexp_extract_all(
     links as (select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b
         where 100 * shared >= 90 * (x.n + y.n - shared)),
     reached as (select doc_id, doc_id as other from sizes
-        union select reached.doc_id, links.b from reached join links on links.a = reached.other)
-    select doc_id, any_value(n) as n_shingles, min(other) as component_id from reached join sizes using (doc_id)
-    group by doc_id"""
+        union select reached.doc_id, links.b from reached join links on links.a = reached.other),
+    linked as (select a as doc_id, count(*) as n_links from links group by a)
+    select doc_id, any_value(n) as n_shingles, min(other) as component_id, coalesce(any_value(n_links), 0) as n_links
+    from reached join sizes using (doc_id) left join linked using (doc_id) group by doc_id"""
 
 _LEXICAL = r"""with found as (select doc_id, 1 as one, unnest(regexp_extract_all(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

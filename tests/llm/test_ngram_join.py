@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -9,14 +10,14 @@ from rentlake.llm import ngram_join
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def brute(rows):
-    """Sets as strings, all pairs, and components by repeated minimum."""
+def brute(rows, words=3, percent=90):
+    """(doc_id, size, component, links): sets as strings, all pairs, and components by repeated minimum."""
     sets = []
     for _, text in rows:
         lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
-        words = WORD.findall(lowered)
-        short = {tuple(words)} if words else set()
-        sets.append({tuple(words[i : i + 3]) for i in range(len(words) - 2)} or short)
+        found = WORD.findall(lowered)
+        short = {tuple(found)} if found else set()
+        sets.append({tuple(found[i : i + words]) for i in range(len(found) - words + 1)} or short)
     parent = list(range(len(rows)))
 
     def root(i):
@@ -24,14 +25,17 @@ def brute(rows):
             i = parent[i]
         return i
 
+    links = [0] * len(rows)
     for i in range(len(rows)):
         for j in range(i):
-            if sets[i] and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
                 parent[root(i)] = root(j)
+                links[i] += 1
+                links[j] += 1
     least = {}
     for i, (doc_id, _) in enumerate(rows):
         least[root(i)] = min(least.get(root(i), doc_id), doc_id)
-    return sorted((doc_id, len(sets[i]), least[root(i)]) for i, (doc_id, _) in enumerate(rows))
+    return sorted((doc_id, len(sets[i]), least[root(i)], links[i]) for i, (doc_id, _) in enumerate(rows))
 
 
 def corpus():
@@ -92,8 +96,8 @@ def test_repeated_rows_other_columns_and_empty_table(spark):
         [(i, t, "n", 3) for i, t in rows], "doc_id long, text string, node string, n_shingles int"
     )
     got = ngram_join.linked_components(docs).collect()
-    assert sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"]) for r in got) == [
-        (0, 2, 1), (1, 2, 1), (1, 2, 1), (5, 2, 5)]
+    assert sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"], r["n_links"]) for r in got) == [
+        (0, 2, 1, 2), (1, 2, 1, 2), (1, 2, 1, 2), (5, 2, 5, 0)]
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.linked_components(empty).collect() == []
 
@@ -105,7 +109,7 @@ def test_sizes_that_link_share_a_class(n):
         overlap = -(-9 * (n + m) // 19)
         assert n + m - 2 * overlap <= ngram_join.differing(n + m)
         shared = max(set(ngram_join.size_classes(n)) & set(ngram_join.size_classes(m)))
-        assert n + m < 2 * ngram_join._BOUNDS[shared + 1]
+        assert n + m < 2 * ngram_join.PAIRS.bounds[shared + 1]
 
 
 def test_boundary_follows_cost():
@@ -123,3 +127,61 @@ def test_sketch_distance_never_exceeds_difference():
         short = min(len(s), len(t))
         apart = np.bitwise_count(ngram_join.fold(s, short) ^ ngram_join.fold(t, short)).sum()
         assert apart <= len(np.setxor1d(a, b))
+
+
+@pytest.mark.parametrize("measure", [ngram_join.PAIRS, ngram_join.NEAR_COPIES])
+@pytest.mark.parametrize("n", [10, 13, 17, 23, 30, 45, 60, 90, 120, 200, 300, 450, 800, 2000])
+def test_unrelated_sets_share_no_key(measure, n):
+    rng = np.random.default_rng(n)
+    sets = 2000 if n < 500 else 500
+    keys = Counter()
+    for _ in range(sets):
+        keys.update(set(ngram_join.heavy_keys(np.sort(rng.integers(0, 2**64, n, dtype=np.uint64)), measure).tolist()))
+    assert max(keys.values()) <= max(1, 0.002 * sets)
+
+
+@pytest.mark.parametrize("measure", [ngram_join.PAIRS, ngram_join.NEAR_COPIES])
+def test_linked_sets_share_a_key(measure):
+    """Sets that differ in as many shingles as linked ones can, of sizes at both ends of what a set links with."""
+    rng = np.random.default_rng(4)
+    for n in [*range(measure.least, 60), 100, 250, 411, 900]:
+        for m in {n, n * 10 // measure.tenths, (n + n * 10 // measure.tenths) // 2}:
+            same = -(-measure.tenths * (n + m) // (10 + measure.tenths))
+            if same > min(n, m):
+                continue
+            for _ in range(20):
+                pool = rng.integers(0, 2**64, n + m - same, dtype=np.uint64)
+                a, b = np.sort(pool[:n]), np.sort(pool[n - same :])
+                assert 10 * same >= measure.tenths * (n + m - same)
+                assert set(ngram_join.heavy_keys(a, measure).tolist()) & set(ngram_join.heavy_keys(b, measure).tolist()), (n, m)
+
+
+def test_links_of_triangles_chains_and_copies(spark):
+    base = [f"w{i}" for i in range(100)]
+    texts = [base, base, [*base[:99], "x"], [*base[:98], "y", "z"], [*base[:90], *[f"q{i}" for i in range(10)]], ["alone"] * 9]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    assert components(spark, rows) == brute(rows)
+    assert [r[3] for r in brute(rows)][:2] == [3, 3]
+
+
+def test_links_across_chunks_and_slices(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CHUNK", 8)
+    monkeypatch.setattr(ngram_join, "SLICE", 64)
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(60):
+        copy = list(base)
+        for _ in range(rng.randrange(8)):
+            copy[rng.randrange(120)] = f"x{rng.randrange(50)}"
+        rows.append((i, " ".join(copy)))
+    assert components(spark, rows) == brute(rows)
+
+
+def test_rows_that_share_an_id_but_not_the_text_all_stay(spark):
+    rows = [(1, "a b c d e f g"), (1, "other words are here in this one"), (2, "a b c d e f g"), (3, "a b c d e f g"), (3, "a b c d e f g"), (None, "x")]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, rows int")
+    got = ngram_join.representatives(docs, ngram_join.NEAR_COPIES)
+    assert got.columns == docs.columns
+    kept = sorted((r["doc_id"] or 0, r["text"]) for r in got.collect())
+    assert kept == sorted([(0, "x"), (1, rows[0][1]), (1, rows[1][1]), (2, rows[2][1])])

@@ -47,7 +47,7 @@ def test_each_stage_equals_brute_force(spark):
     single = stages[1](spark, known, SAMPLES).cache()
     second = rows_of(single)
     assert single.columns == COLUMNS
-    assert set(second) == {c for _, _, c in brute_components([(i, r["text"]) for i, r in first.items()])}
+    assert set(second) == {c for _, _, c, _ in brute_components([(i, r["text"]) for i, r in first.items()], 5, 80)}
 
     clean = stages[2](spark, single, SAMPLES).cache()
     third = rows_of(clean)
@@ -117,7 +117,7 @@ def test_join_takes_five_words_and_four_fifths(spark):
     rows += [(5000, "p q r s"), (5001, "p r q s"), (5002, "P q r s"), (5003, "p q r s t"), (5004, "p q r s t u")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     want = first_of_near_copies(rows)
-    assert want != {c for _, _, c in brute_components(rows)}
+    assert want != {c for _, _, c, _ in brute_components(rows)}
     assert {r["doc_id"] for r in corpus_pipeline.one_of_each_group(spark, docs, SAMPLES).collect()} == want
 
 
