@@ -5,13 +5,16 @@ A document's size is its number of words (runs of characters other than space an
 again, and share the total of all sizes; a target stops at three times its source's size
 and the excess is shared again by weight until none is above.
 
-Every document of a source is due target / size of the source in copies. The whole part
-is certain. The fractional parts are rounded in dependence on each other: two documents
-pass words from one to the other, the direction drawn so that each keeps its expected
-copies, until one of them has a whole number. Documents meet in small chunks, larger ones
-first; what a chunk leaves unsettled meets the rest of other chunks one level up, down to
-one document a source, which is drawn alone. So a source's words differ from its target
-by less than the size of that last, small document.
+A source's documents are rounded by size, the classes of the largest ones first. In each
+class every document is due what is left of the target over the words that are left, three
+copies at most. The whole part is certain. The fractional parts are rounded in dependence on
+each other: two documents pass words from one to the other, the direction drawn so that each
+keeps its expected copies, until one of them has a whole number. Documents meet in small
+chunks; what a chunk leaves unsettled meets the rest of other chunks one level up, down to
+one document a source, which is drawn alone. The words that it takes too many or too few
+fall to the smaller classes, where they change what is due a little; so a source's words
+differ from its target by less than the last, small document, as long as its smaller
+documents have words enough.
 
 Only DataFrame functions are used. Draws depend on documents alone, so reruns agree.
 Edge cases: an empty table gives no rows; documents without words are taken 0 times;
@@ -26,14 +29,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rentlake.llm.scratch import Scratch
+from rentlake.operators.ordered import ranked
 
 MOST = 3  # a target is at most so many times its source's size
 FAN_IN = 64  # documents, or rests of chunks, that are rounded together
+CLASS_BITS = 3  # sizes of one class differ by a factor of 2 ** CLASS_BITS at most
 SEED = 8
 WORD = r"[^\x20\x09-\x0D]+"
 
-UNIT = "struct<size:bigint,doc_id:bigint,copy:bigint,p:double>"
-DONE = "array<struct<size:bigint,doc_id:bigint,copy:bigint,extra:int>>"
+UNIT = "struct<size:bigint,doc_id:bigint,copy:bigint,base:bigint,p:double>"
+DONE = "array<struct<size:bigint,doc_id:bigint,copies:bigint>>"
 
 # One step over the units of a chunk: `a.c` is the unsettled unit so far, `x` the next one.
 # `up` and `down` are the most words that a.c can take from x or give to it.
@@ -52,13 +57,15 @@ aggregate(units, named_struct('c', cast(null as {UNIT}), 'done', cast(array() as
                               'mine', a.c.p - m.down / a.c.size, 'other', x.p + m.down / x.size) END), s ->
         CASE WHEN s.whole
           THEN named_struct(
-            'c', named_struct('size', x.size, 'doc_id', x.doc_id, 'copy', x.copy, 'p', least(greatest(s.other, 0D), 1D)),
-            'done', concat(a.done, array(named_struct('size', a.c.size, 'doc_id', a.c.doc_id, 'copy', a.c.copy,
-                                                      'extra', cast(round(s.mine) as int)))))
+            'c', named_struct('size', x.size, 'doc_id', x.doc_id, 'copy', x.copy, 'base', x.base,
+                              'p', least(greatest(s.other, 0D), 1D)),
+            'done', concat(a.done, array(named_struct('size', a.c.size, 'doc_id', a.c.doc_id,
+                                                      'copies', a.c.base + cast(round(s.mine) as bigint)))))
           ELSE named_struct(
-            'c', named_struct('size', a.c.size, 'doc_id', a.c.doc_id, 'copy', a.c.copy, 'p', least(greatest(s.mine, 0D), 1D)),
-            'done', concat(a.done, array(named_struct('size', x.size, 'doc_id', x.doc_id, 'copy', x.copy,
-                                                      'extra', cast(round(s.other) as int))))) END)[0])[0]
+            'c', named_struct('size', a.c.size, 'doc_id', a.c.doc_id, 'copy', a.c.copy, 'base', a.c.base,
+                              'p', least(greatest(s.mine, 0D), 1D)),
+            'done', concat(a.done, array(named_struct('size', x.size, 'doc_id', x.doc_id,
+                                                      'copies', x.base + cast(round(s.other) as bigint))))) END)[0])[0]
   END)
 """
 
@@ -67,87 +74,102 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def source_targets(sizes: DataFrame) -> DataFrame:
-    """(source, number, source_size, n_docs, target) from (source, size), one row a source.
+def source_targets(totals: DataFrame) -> DataFrame:
+    """(source, number, source_size, target) from (source, source_size), one row a source.
 
-    Sources stop at their limit in the order of limit / weight. `level` is what a unit of
-    weight is due if all before have stopped; the first that is not above it shares the rest.
+    `level` is what a unit of weight is due. Sources that would be above their limit stop
+    there and leave the rest to the others, which raises the level, until no more do: two
+    sums a round, whatever the number of sources.
     """
-    totals = sizes.groupBy("source").agg(
-        F.sum("size").alias("source_size"), F.count(F.when(F.col("size") > 0, 1)).alias("n_docs")
-    )
-    by_name = Window.orderBy(F.asc_nulls_last("source"))
-    everything = Window.partitionBy()
-    order = Window.orderBy("ratio", "number")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (
-        totals.withColumn("number", F.row_number().over(by_name))
-        .withColumn("weight", (F.col("number") - 1) % 3 + 1)
-        .withColumn("ratio", MOST * F.col("source_size") / F.col("weight"))
-        .withColumn("whole", F.sum("source_size").over(everything))
-        .withColumn("rest", F.col("whole") - F.coalesce(F.sum(MOST * F.col("source_size")).over(before), F.lit(0)))
-        .withColumn("shares", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
-        .withColumn("level", F.col("rest") / F.col("shares"))
-    )
-    free = F.col("level") < F.col("ratio")
-    shared = F.max(F.when(free, F.struct(-F.row_number().over(order), F.col("level").alias("level")))).over(everything)
-    return ranked.withColumn("shared", shared.getField("level")).select(
-        "source",
-        "number",
-        "source_size",
-        "n_docs",
-        F.when(free, F.col("weight") * F.col("shared"))
-        .otherwise(MOST * F.col("source_size"))
-        .cast("double")
-        .alias("target"),
-    )
+    numbered = ranked(totals, [F.asc_nulls_last("source")], "number").withColumn("weight", (F.col("number") - 1) % 3 + 1)
+    limit, level = MOST * F.col("source_size"), 0.0
+    while True:
+        stopped = (F.col("weight") * F.lit(level)) > limit
+        sums = numbered.agg(
+            (F.sum("source_size") - F.coalesce(F.sum(F.when(stopped, limit)), F.lit(0))).alias("rest"),
+            F.sum(F.when(~stopped, F.col("weight"))).alias("weights"),
+        ).first()
+        risen = sums["rest"] / sums["weights"] if sums["weights"] else level
+        if risen <= level:
+            break
+        level = risen
+    target = F.least(F.col("weight") * F.lit(level), limit.cast("double"))
+    return numbered.select("source", "number", "source_size", target.alias("target"))
+
+
+def _rounded(units: DataFrame, most: int, scratch: Scratch, name: str) -> list[DataFrame]:
+    """(number, size, doc_id, copies) of documents of one class, with `due` and the `chunks` of their source; `most` chunks at the most."""
+    base = F.floor(F.col("due") + 1e-9)
+    p = F.greatest(F.col("due") - base, F.lit(0.0))
+    units = units.withColumns({"base": base, "p": F.when(p > 1e-9, p).otherwise(0.0)})
+    settled = [units.where("p = 0").select("number", "size", "doc_id", F.col("base").alias("copies"))]
+    chunk = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "copy"), F.col("chunks"))
+    level = units.where("p > 0").select("number", chunk.alias("chunk"), F.struct("size", "doc_id", "copy", "base", "p").alias("unit"))
+    chunks, turn = most, 0
+    while chunks:
+        met = level.groupBy("number", "chunk").agg(F.reverse(F.array_sort(F.collect_list("unit"))).alias("units"))
+        met = scratch.keep(met.select("number", "chunk", F.expr(PIVOT).alias("met")), f"{name}_{turn}")
+        settled.append(met.select("number", F.inline("met.done")))
+        level = met.select("number", F.floor(F.col("chunk") / FAN_IN).alias("chunk"), F.col("met.c").alias("unit"))
+        chunks, turn = (0 if chunks == 1 else -(-chunks // FAN_IN)), turn + 1
+    draw = F.xxhash64(F.lit(SEED), "unit.doc_id", "unit.copy").bitwiseAND(F.lit(2**53 - 1)) / F.lit(float(2**53))
+    last = F.col("unit.base") + (draw < F.col("unit.p")).cast("long")
+    settled.append(level.select("number", "unit.size", "unit.doc_id", last.alias("copies")))
+    return settled
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken, copies, source) for every row of `docs` (doc_id, text, source)."""
     scratch = Scratch(docs.sparkSession)
+    size_class = F.when(F.col("size") > 0, F.floor(F.log2("size") / CLASS_BITS)).cast("int")
     sizes = (
         docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"))
         .groupBy("doc_id", "source", "size")
         .count()
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "count")))
-        .drop("count")
+        .select("doc_id", "source", "size", "copy", size_class.alias("class"))
     )
     sizes = scratch.keep(sizes, "sizes")
-    targets = scratch.keep(source_targets(sizes), "targets")
-    due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    units = (
-        sizes.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
-        .drop("_source", "source")
-        .withColumn("base", F.floor(due))
-        .withColumn("p", due - F.floor(due))
-        .withColumn("chunks", F.ceil(F.col("n_docs") / FAN_IN))
-    )
-    open_units = (F.col("size") > 0) & (F.col("p") > 0)
-    settled = [units.where(~open_units).select("number", "size", "doc_id", F.lit(0).alias("extra"))]
-    chunk = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "copy"), F.col("chunks"))
-    level = units.where(open_units).select(
-        "number", chunk.alias("chunk"), F.struct("size", "doc_id", "copy", "p").alias("unit")
-    )
-    most = targets.agg(F.max("n_docs")).first()[0] or 0
-    chunks, turn = -(-most // FAN_IN), 0
-    while chunks:
-        met = level.groupBy("number", "chunk").agg(F.reverse(F.array_sort(F.collect_list("unit"))).alias("units"))
-        met = scratch.keep(met.select("number", "chunk", F.expr(PIVOT).alias("met")), f"level_{turn}")
-        settled.append(met.select("number", F.explode("met.done").alias("d")).select("number", "d.size", "d.doc_id", "d.extra"))
-        level = met.select("number", F.floor(F.col("chunk") / FAN_IN).alias("chunk"), F.col("met.c").alias("unit"))
-        chunks, turn = (0 if chunks == 1 else -(-chunks // FAN_IN)), turn + 1
-    draw = F.xxhash64(F.lit(SEED), "unit.doc_id", "unit.copy").bitwiseAND(F.lit(2**53 - 1)) / F.lit(float(2**53))
-    settled.append(level.select("number", "unit.size", "unit.doc_id", (draw < F.col("unit.p")).cast("int").alias("extra")))
-    taken = settled[0]
-    for part in settled[1:]:
-        taken = taken.unionByName(part)
-    return (
-        taken.join(targets, "number")
-        .withColumn("copies", F.floor(due) + F.col("extra"))
-        .select(
-            "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source"
+    by_class = sizes.groupBy("source", "class").agg(F.sum("size").alias("words"), F.count("*").alias("docs"))
+    by_class = scratch.keep(by_class, "by_class")
+    targets = scratch.keep(source_targets(by_class.groupBy("source").agg(F.sum("words").alias("source_size"))), "targets")
+    named = targets.withColumnRenamed("source", "_source")
+    of_source = F.col("source").eqNullSafe(F.col("_source"))
+    numbers = named.select("_source", "number")
+    by_class = scratch.keep(by_class.join(numbers, of_source).select("number", "class", "words", "docs"), "numbered_classes")
+    units = scratch.keep(sizes.join(numbers, of_source).select("number", "size", "doc_id", "copy", "class"), "units")
+
+    taken = [units.where("size = 0").select("number", "size", "doc_id", F.lit(0).cast("long").alias("copies"))]
+    # What is left of the target, and the words left, of each source.
+    left = targets.select("number", F.col("target").alias("due_words"), F.col("source_size").alias("words_left"))
+    most = by_class.where("class is not null").groupBy("class").agg(F.max("docs").alias("docs")).collect()  # 21 classes at most
+    for size_class, docs_in in sorted(((r["class"], r["docs"]) for r in most), reverse=True):
+        own = by_class.where(F.col("class") == size_class)
+        due = F.greatest(F.least(F.col("due_words") / F.col("words_left"), F.lit(float(MOST))), F.lit(0.0))
+        chunks = F.ceil(F.col("docs") / FAN_IN)
+        dues = scratch.keep(left.join(own, "number").select("number", due.alias("due"), chunks.alias("chunks")), f"due_{size_class}")
+        met = units.where(F.col("class") == size_class).join(dues, "number")
+        parts = _rounded(met, -(-docs_in // FAN_IN), scratch, f"class_{size_class}")
+        for part in parts:
+            taken.append(part)
+        words = parts[0]
+        for part in parts[1:]:
+            words = words.unionByName(part)
+        spent = words.groupBy("number").agg(F.sum(F.col("size") * F.col("copies")).alias("spent"))
+        left = left.join(spent, "number", "left").join(own.select("number", "words"), "number", "left")
+        left = scratch.keep(
+            left.select(
+                "number",
+                (F.col("due_words") - F.coalesce("spent", F.lit(0))).alias("due_words"),
+                (F.col("words_left") - F.coalesce("words", F.lit(0))).alias("words_left"),
+            ),
+            f"left_{size_class}",
         )
+    whole = taken[0]
+    for part in taken[1:]:
+        whole = whole.unionByName(part)
+    return whole.join(targets, "number").select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source"
     )
 
 

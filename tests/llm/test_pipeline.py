@@ -126,7 +126,6 @@ def test_blocks_and_classes_of_the_join(n):
     measure = ngram_join.NEAR_COPIES
     for m in range(n, n * 10 // 8 + 1):
         both = set(ngram_join.size_classes(n, measure)) & set(ngram_join.size_classes(m, measure))
-        blocks, spare = measure.blocks(max(both))
-        assert blocks - spare > n + m - 2 * -(-8 * (n + m) // 18)
+        assert measure.blocks(max(both)) > n + m - 2 * -(-8 * (n + m) // 18)
     found = np.unique(np.random.default_rng(n).integers(0, 2**63, n).astype(np.uint64))
-    assert len(ngram_join.heavy_keys(found, measure)) <= sum(measure.blocks(c)[0] for c in ngram_join.size_classes(len(found), measure))
+    assert len(ngram_join.heavy_keys(found, measure)) <= sum(measure.blocks(c) for c in ngram_join.size_classes(len(found), measure))
