@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentlake import schemas
+from rentlake.operators.filters import cleared
 from rentlake.operators.joins import lookup_join
 
 
@@ -69,13 +70,10 @@ def _referenced(child: DataFrame, fk: str, pk: str) -> DataFrame:
 def set_null_on_delete(child: DataFrame, fk: str, deleted: DataFrame, pk: str) -> DataFrame:
     """Child rows after a parent delete: references to deleted parents become NULL.
 
-    Both halves read the same two shuffles. Neither join multiplies rows if a parent
-    is named twice, and both leave adaptive execution free to split a hot reference.
+    One join for both kinds of rows. It does not multiply rows if a parent is named twice,
+    and leaves adaptive execution free to split a hot reference.
     """
-    gone = deleted.select(F.col(pk).alias(fk))
-    kept = lookup_join(child, gone, fk, "left_anti")
-    cleared = lookup_join(child, gone, fk, "left_semi").withColumn(fk, F.lit(None).cast(child.schema[fk].dataType))
-    return kept.unionByName(cleared)
+    return cleared(child, fk, deleted.select(F.col(pk).alias(fk)).distinct())
 
 
 def cascade_key_update(child: DataFrame, fk: str, key_map: DataFrame, old: str, new: str) -> DataFrame:

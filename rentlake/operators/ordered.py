@@ -87,6 +87,29 @@ def assembled_concat(
     return runs.groupBy(*keys).agg(listed(alias, ["part"], separator).alias(alias))
 
 
+def running_totals(df: DataFrame, keys: Sequence[str], by: Sequence[str], value: str, alias: str) -> DataFrame:
+    """`df` with the sum of `value` over the rows of its keys up to and with itself, in the order `by`.
+
+    One sorted pass: rows are range-partitioned on (keys, by), ties spread by a hash, so that
+    a key which holds a third of all rows is summed by many tasks, each over its range. Of
+    what a range holds of a key, the total is carried to the ranges after it; that is one
+    row for a key and range. Rows that tie in `by` are summed in no particular order.
+    """
+    spark, work = df.sparkSession, Workspace(df.sparkSession)
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) + F.spark_partition_id()
+    placed = df.withColumn("_tie", tie).repartitionByRange(*keys, *by, "_tie").withColumn("_part", F.spark_partition_id())
+    placed.write.parquet(work.path("totals"))
+    rows = spark.read.schema(placed.schema).parquet(work.path("totals"))
+    sums = rows.groupBy(*keys, "_part").agg(F.sum(value).alias("_sum"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    same = [F.col(f"_key_{k}").eqNullSafe(F.col(k)) for k in keys]
+    carried = sums.select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_part").alias("_range"), F.sum("_sum").over(earlier).alias("_carried"))
+    carried = carried.where("_carried IS NOT NULL")
+    along = Window.partitionBy("_part", *keys).orderBy(*by, "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = rows.withColumn("_own", F.sum(value).over(along)).join(carried, [F.col("_part") == F.col("_range"), *same], "left")
+    return joined.select(*df.columns, (F.coalesce("_carried", F.lit(0)) + F.coalesce("_own", F.lit(0))).alias(alias))
+
+
 def listed(item: str, by: Sequence[str], separator: str) -> Column:
     """The values of a group in the order `by`, as one text."""
     quoted = separator.replace("\\", "\\\\").replace("'", "\\'")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentlake.functions import calendar, capitalise
-from rentlake.operators import changes, integrity, ordered, reports
+from rentlake.operators import changes, filters, integrity, ordered, reports
 from rentlake.operators.joins import lookup_join
 from rentlake.plans import gold, marts, routines
 from rentlake.plans.adapters import RentalData, write_arrays_of, write_json_arrays
@@ -246,6 +246,16 @@ def customer_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _money(owed, "balance")
 
 
+@query
+def customer_balance_at_month_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every customer owed at the end of every month in which something was ordered."""
+    d = RentalData(spark, sf_dir)
+    last_day = F.last_day("o_orderdate").cast("timestamp_ntz") + F.expr("INTERVAL '23:59:59' HOUR TO SECOND")
+    ends = d.raw("orders").select(last_day.alias("as_of")).distinct().agg(F.collect_set("as_of").alias("ends"))  # one a month
+    questions = d.customer.select("customer_id").join(F.broadcast(ends)).select("customer_id", F.explode("ends").alias("as_of"))
+    return _money(routines.customer_balances(questions, d.rental, d.inventory, d.film, d.payment), "balance")
+
+
 @query
 def film_in_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = RentalData(spark, sf_dir)
@@ -741,6 +751,14 @@ def check_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.orphans(d.raw("orders"), "o_custkey", building, "c_custkey").select("o_orderkey", "o_custkey")
 
 
+@query
+def check_fk_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same orders, most of them told by a filter of the parent's keys."""
+    d = RentalData(spark, sf_dir)
+    building = d.raw("customer").where("c_mktsegment = 'BUILDING'")
+    return filters.filtered_orphans(d.raw("orders"), "o_custkey", building, "c_custkey").select("o_orderkey", "o_custkey")
+
+
 @query
 def check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open rentals, as rows that miss a return date."""
@@ -820,6 +838,15 @@ def fk_set_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("payment_id", "rental_id")
 
 
+@query
+def fk_set_null_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines after the pending orders were deleted; lines of other orders are not moved."""
+    d = RentalData(spark, sf_dir)
+    pending = d.raw("orders").where("o_orderstatus = 'P'").select("o_orderkey")
+    lines = d.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return filters.filtered_set_null(lines, "l_orderkey", pending, "o_orderkey")
+
+
 @query
 def fk_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments after the customers of one segment got new keys."""

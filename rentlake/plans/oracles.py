@@ -501,4 +501,19 @@ ORACLES |= {
         case c_custkey % 50 when 7 then 'wrong type: c_acctbal' when 11 then 'not valid JSON' end as reason from customer""",
     "silver_selective_replay": ORACLES["silver_stream_enrich"],
     "apply_changes_by_bucket": ORACLES["apply_changes"],
+    "check_fk_filtered": ORACLES["check_fk"],
+    "fk_set_null_filtered": """select case when o_orderstatus <> 'P' then l_orderkey end as l_orderkey,
+        l_linenumber, l_partkey, l_suppkey from lineitem join orders on o_orderkey = l_orderkey""",
+    "customer_balance_at_month_ends": _with(
+        "film line rental",
+        """, ends as (select distinct last_day(o_orderdate) + interval 86399 second as as_of from orders),
+        monthly as (select o_custkey, last_day(o_orderdate) as month,
+            sum(rental_rate + case when datediff('day', o_orderdate, return_date) > p_size
+                then datediff('day', o_orderdate, return_date) - p_size else 0 end
+                - cast(l_extendedprice as decimal(12,2))) as owed
+            from rental join film on film_id = l_partkey group by all)
+        select c_custkey as customer_id, as_of, cast(coalesce(sum(owed), 0) as decimal(28,2)) as balance
+        from customer cross join ends left join monthly on o_custkey = c_custkey and month <= cast(as_of as date)
+        group by c_custkey, as_of""",
+    ),
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rentlake.functions import days_between, month_before
 from rentlake.operators.joins import lookup_join
+from rentlake.operators.ordered import running_totals
 
 
 def rewards_report(
@@ -62,28 +63,48 @@ def customer_balance(
     aggregation and one join instead of one per kind.
     """
     moment = F.lit(str(as_of)).cast("timestamp_ntz")
+    rented, paid = rental.where(F.col("rental_date") <= moment), payment.where(F.col("payment_date") <= moment)
+    owed = _amounts(rented, inventory, film, paid, keys_in=rental).groupBy("customer_id").agg(F.sum("amount").alias("balance"))
+    return (
+        customer.select("customer_id")
+        .join(owed, "customer_id", "left")
+        .select("customer_id", F.coalesce("balance", F.lit(0)).alias("balance"))
+    )
+
+
+def _amounts(rental: DataFrame, inventory: DataFrame, film: DataFrame, payment: DataFrame, keys_in: DataFrame) -> DataFrame:
+    """(customer_id, at, amount): fees of rentals with the time of the rental, payments below zero with theirs."""
     copies = lookup_join(
         inventory.select("inventory_id", "film_id"),
         film.select("film_id", "rental_duration", "rental_rate"),
         "film_id",
     ).select("inventory_id", "rental_duration", "rental_rate")
-    rented = rental.where(F.col("rental_date") <= moment).select(
-        "customer_id", "inventory_id", "rental_date", "return_date"
-    )
+    rented = rental.select("customer_id", "inventory_id", "rental_date", "return_date")
     kept = days_between(F.col("return_date"), F.col("rental_date"))
     late = F.when(kept > F.col("rental_duration"), kept - F.col("rental_duration")).otherwise(0)
-    charges = lookup_join(rented, copies, "inventory_id", keys_in=rental).select(
-        "customer_id", (F.col("rental_rate") + late).alias("amount")
-    )
-    payments = payment.where(F.col("payment_date") <= moment).select(
-        "customer_id", (-F.col("amount")).alias("amount")
-    )
-    owed = charges.unionByName(payments).groupBy("customer_id").agg(F.sum("amount").alias("balance"))
-    return (
-        customer.select("customer_id")
-        .join(owed, "customer_id", "left")
-        .select("customer_id", F.coalesce("balance", F.lit(0)).alias("balance"))
+    charges = lookup_join(rented, copies, "inventory_id", keys_in=keys_in).select(
+        "customer_id", F.col("rental_date").alias("at"), (F.col("rental_rate") + late).alias("amount")
     )
+    payments = payment.select("customer_id", F.col("payment_date").alias("at"), (-F.col("amount")).alias("amount"))
+    return charges.unionByName(payments)
+
+
+def customer_balances(
+    questions: DataFrame, rental: DataFrame, inventory: DataFrame, film: DataFrame, payment: DataFrame
+) -> DataFrame:
+    """What a customer owed at each of many moments: `questions` (customer_id, as_of) with `balance`.
+
+    The answers are those of `customer_balance` at each moment, in one sorted pass over all
+    amounts and questions: a question is a row without an amount, after all rows of its
+    moment, and its running total is the answer. The work follows amounts and questions,
+    not their product. A question asked twice is answered twice.
+    """
+    amounts = _amounts(rental, inventory, film, payment, keys_in=rental)
+    none = F.lit(None).cast(amounts.schema["amount"].dataType)
+    asked = questions.select("customer_id", F.col("as_of").cast("timestamp_ntz").alias("at"), none.alias("amount"), F.lit(1).alias("asked"))
+    rows = amounts.withColumn("asked", F.lit(0)).unionByName(asked)
+    totals = running_totals(rows, ["customer_id"], ["at", "asked"], "amount", "balance")
+    return totals.where("asked = 1").select("customer_id", F.col("at").alias("as_of"), "balance")
 
 
 def open_rentals(rental: DataFrame) -> DataFrame:
