@@ -7,17 +7,18 @@ a fresh folder below the one the session names in spark.checkpoint.dir.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentlake.functions import calendar, capitalise
-from rentlake.operators import changes, filters, integrity, ordered, reports
+from rentlake.operators import changes, filters, integrity, ordered, profiles, reports
 from rentlake.operators.joins import lookup_join
 from rentlake.plans import gold, marts, routines
 from rentlake.plans.adapters import RentalData, write_arrays_of, write_json_arrays
 from rentlake.plans.oracles import ORACLES
-from rentlake.sources import dimensions, documents, files, salvage, tables
+from rentlake.sources import dimensions, documents, files, salvage, splits, tables
 from rentlake.sources.versions import BucketedTable
 from rentlake.streaming import changes as change_stream
 from rentlake.streaming import content, ingest, medallion, quarantine
@@ -639,6 +640,35 @@ def table_profile_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.table_profile(RentalData(spark, sf_dir).raw("orders")).drop("n_distinct")
 
 
+@query
+def profile_of_stored_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of all orders from states stored month by month, and whether its estimates keep their bounds."""
+    work = Workspace(spark)
+    orders = RentalData(spark, sf_dir).raw("orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    for late in (False, True):  # an early load, and a later one that adds its months
+        rows = orders.where((F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz")) == F.lit(late))
+        profiles.profile_state(rows, "month").write.mode("append").partitionBy("month").parquet(work.path("states"))
+    fields = [f for f in orders.schema if f.name != "month"]
+    found = profiles.merged_profile(spark.read.parquet(work.path("states")), fields)
+    exact = reports.table_profile(orders.drop("month"), exact=True).select("column_name", F.col("n_distinct").alias("exact"))
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= 0.05 * F.col("exact")
+    return found.join(exact, "column_name").select(
+        "column_name", "data_type", "n_rows", "n_nulls", "min_value", "max_value", F.col("exact").alias("n_distinct"),
+        near.alias("estimate_is_near"), F.coalesce(F.array_sort("quantiles") == F.col("quantiles"), F.lit(True)).alias("quantiles_in_order"),
+    )
+
+
+@query
+def read_in_even_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines read by the predicates that a parallel scan would send, a hot part split by its orders."""
+    lines = RentalData(spark, sf_dir).raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    skewed = lines.withColumn("l_partkey", F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(F.col("l_partkey")))
+    parts = [
+        skewed.where(p) for p in splits.even_predicates(skewed, "l_partkey", 12, "l_orderkey")
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def preview_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = RentalData(spark, sf_dir).raw("orders").select("o_orderkey", "o_custkey", "o_totalprice")

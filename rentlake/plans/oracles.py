@@ -516,4 +516,8 @@ ORACLES |= {
         from customer cross join ends left join monthly on o_custkey = c_custkey and month <= cast(as_of as date)
         group by c_custkey, as_of""",
     ),
+    "profile_of_stored_months": f"""select *, true as estimate_is_near, true as quantiles_in_order
+        from ({ORACLES['table_profile']})""",
+    "read_in_even_splits": """select l_orderkey, l_linenumber,
+        case when l_orderkey % 3 = 0 then 1 else l_partkey end as l_partkey from lineitem""",
 }
