@@ -5,14 +5,15 @@ characters or more), `access` (a key identifier) and `hex` (a long hexadecimal n
 
 Other parts are too common to be reported alone: `identifier` (a named user, client or
 key), `secret` (a long run of mixed letters and digits) and `endpoint` (a URL). They are
-reported when complementary parts share a scope, which is SCOPE code points before and
-after a part's start: an identifier or an endpoint beside a secret, a secret beside an
-identifier or an endpoint. Base spans count as parts: `access` identifies, the others are
+reported when complementary parts share a scope: no more than SCOPE code points lie between
+the end of the one and the start of the other, however long either is. An identifier or an
+endpoint is reported beside a secret, a secret beside an identifier or an endpoint. Base spans count as parts: `access` identifies, the others are
 secrets. A weak part that overlaps a base span adds nothing and is left out.
 
-The interval join is made on cells of SCOPE code points. Of each kind of part only the
-first and the last start in a cell are joined, which is all that the nearest neighbour
-depends on, so a text full of parts gives no pairs of parts.
+The interval join is made on cells of SCOPE code points. A part lies in all cells that it
+covers. Of each role only the first and the last code point in a cell that a part covers are
+joined, which is all that the nearest neighbour depends on, so a text full of parts gives no
+pairs of parts; a part looks into the cells that its scope reaches.
 
 Only DataFrame functions are used. Positions come from the lengths of the pieces between
 matches, summed up. Edge cases: a null text is empty; a text without spans has counts of
@@ -123,18 +124,21 @@ def _weak_parts(parts: DataFrame) -> DataFrame:
 
 def linked_parts(parts: DataFrame) -> DataFrame:
     """(row, kind, start, end) of the weak parts with a complementary part in their scope."""
-    cell = F.floor(F.col("start") / SCOPE)
+    first, last = F.floor(F.col("start") / SCOPE), F.floor((F.col("end") - 1) / SCOPE)
     evidence = (
-        parts.groupBy("row", F.col("role").alias("other"), cell.alias("own"))
-        .agg(F.min("start").alias("low"), F.max("start").alias("high"))
-        .withColumn("cell", F.explode(F.sequence(F.col("own") - 1, F.col("own") + 1)))
-        .drop("own")
+        parts.select("row", F.col("role").alias("other"), "start", "end", F.explode(F.sequence(first, last)).alias("cell"))
+        .groupBy("row", "other", "cell")
+        .agg(
+            F.min(F.greatest("start", F.col("cell") * SCOPE)).alias("low"),
+            F.max(F.least("end", (F.col("cell") + 1) * SCOPE)).alias("high"),
+        )
     )
-    near = (F.col("low") <= F.col("start") + SCOPE) & (F.col("high") >= F.col("start") - SCOPE)
+    near = (F.col("low") <= F.col("end") + SCOPE) & (F.col("high") >= F.col("start") - SCOPE)
+    reached = F.sequence(F.floor((F.col("start") - SCOPE - 1) / SCOPE), F.floor((F.col("end") + SCOPE) / SCOPE))
     complementary = F.when(F.col("role") == "secret", F.col("other") != "secret").otherwise(F.col("other") == "secret")
     return (
         parts.where(~F.col("base"))
-        .withColumn("cell", cell)
+        .withColumn("cell", F.explode(reached))
         .join(evidence, ["row", "cell"])
         .where(near & complementary)
         .select("row", "kind", "start", "end")
