@@ -179,6 +179,15 @@ class RentalData:
             F.col("o_orderdate").alias("payment_date"),
         )
 
+    @property
+    def paid_lines(self) -> DataFrame:
+        """Payments as far as order lines alone tell: no customer, no date. Every line has an order."""
+        return self.raw("lineitem").select(
+            _rental_id().alias("rental_id"),
+            F.col("l_suppkey").alias("staff_id"),
+            F.col("l_extendedprice").cast(MONEY).alias("amount"),
+        )
+
     @property
     def rental_lines(self) -> DataFrame:
         """Rentals as far as order lines alone tell: no customer, no rental date."""
@@ -332,11 +341,8 @@ def write_arrays_of(docs: DataFrame, path: str, bytes_per_file: int = 32 << 20)
 
 
 def _copy_id() -> Column:
-    """Part and supplier as one number: four digits for the supplier, or a negative number with
-    32 bits for a longer supplier key, so that no two copies share it."""
-    part, supplier = F.col("l_partkey").cast("long"), F.col("l_suppkey").cast("long")
-    wide = -(F.shiftleft(part, 32).bitwiseOR(supplier))
-    return F.when(supplier < 10_000, part * 10_000 + supplier).otherwise(wide)
+    """Part and supplier as one number, 32 bits for the supplier."""
+    return F.shiftleft(F.col("l_partkey").cast("long"), 32).bitwiseOR(F.col("l_suppkey").cast("long"))
 
 
 def _rental_id() -> Column:

@@ -130,7 +130,7 @@ def actor_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = RentalData(spark, sf_dir)
     sales = marts.sales_by_store(
-        d.payment, d.rental_lines, d.inventory, d.store, d.staff, d.address, d.city, d.country
+        d.paid_lines, d.rental_lines, d.inventory, d.store, d.staff, d.address, d.city, d.country
     )
     return _money(sales, "total_sales")
 
@@ -139,7 +139,7 @@ def sales_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = RentalData(spark, sf_dir)
     sales = marts.sales_by_film_category(
-        d.payment, d.rental_lines, d.inventory, d.film, d.film_category, d.category
+        d.paid_lines, d.rental_lines, d.inventory, d.film, d.film_category, d.category
     )
     return _money(sales, "total_sales")
 
@@ -149,7 +149,7 @@ def sales_total_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Money by store and money paid for rentals, each summed up: they must agree."""
     d = RentalData(spark, sf_dir)
     sales = marts.sales_by_store(
-        d.payment, d.rental_lines, d.inventory, d.store, d.staff, d.address, d.city, d.country
+        d.paid_lines, d.rental_lines, d.inventory, d.store, d.staff, d.address, d.city, d.country
     ).agg(F.sum("total_sales").alias("by_store"), F.lit(1).alias("one"))
     paid = d.payment.where("rental_id IS NOT NULL").agg(F.sum("amount").alias("paid"), F.lit(1).alias("one"))
     return _money(sales.join(paid, "one").drop("one"), "by_store", "paid")
@@ -234,6 +234,17 @@ def rewards_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routines.rewards_report(d.payment, d.customer, **REWARDS)
 
 
+@query
+def rewards_report_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of the month before today, over payments moved by whole months to lie there."""
+    d = RentalData(spark, sf_dir)
+    months = F.months_between(F.trunc(F.current_date(), "MM"), F.lit("1996-04-01").cast("date")).cast("int")
+    day = F.add_months(F.to_date("payment_date"), months)
+    moved = d.payment.withColumn("payment_date", day.cast("timestamp_ntz"))
+    limits = {k: v for k, v in REWARDS.items() if k != "as_of"}
+    return routines.rewards_report(moved, d.customer, **limits).select("customer_id", "store_id")
+
+
 @query
 def rewardee_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = RentalData(spark, sf_dir)
@@ -267,8 +278,8 @@ def film_in_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
 def film_in_stock_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The copies of one film on the shelf of the first store that has any."""
     d = RentalData(spark, sf_dir)
-    store = d.inventory.where("film_id = 7").agg(F.min("store_id")).first()[0]
-    return routines.film_in_stock(d.inventory, d.rental_lines, film_id=7, store_id=store)
+    first = d.inventory.where("film_id = 7").agg(F.min("store_id").alias("store_id"))
+    return routines.film_in_stock(lookup_join(d.inventory, first, "store_id", "left_semi"), d.rental_lines, film_id=7)
 
 
 @query
@@ -848,10 +859,9 @@ def fk_restrict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fk_allowed_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers in debt that can be deleted as far as payments of 1995 tell."""
+    """Staff that can be deleted as far as stores tell, since they manage none."""
     d = RentalData(spark, sf_dir)
-    recent = d.payment.where("payment_date < timestamp_ntz'1996-01-01 00:00:00'")
-    return integrity.allowed_deletes(_in_debt(d), "customer_id", recent, "customer_id")
+    return integrity.allowed_deletes(d.staff.select("staff_id"), "staff_id", d.store, "manager_staff_id")
 
 
 def _in_debt(d: RentalData) -> DataFrame:

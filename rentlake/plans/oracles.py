@@ -9,7 +9,7 @@ PARTS = {
     "film": """film as (select p_partkey as film_id, p_name as title, p_type, p_brand, p_size,
         cast(p_retailprice as decimal(12,2)) as rental_rate from part)""",
     "line": """line as (select *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d')) as rental_id,
-        l_partkey * 10000 + l_suppkey as inventory_id,
+        (l_partkey << 32) | l_suppkey as inventory_id,
         case when l_returnflag = 'N' and l_linestatus = 'O' and l_shipdate > timestamp '2001-06-01 00:00:00'
              then null else l_shipdate end as return_date from lineitem)""",
     "rental": """rental as (select * from line join orders on l_orderkey = o_orderkey)""",
@@ -418,12 +418,8 @@ ORACLES: dict[str, str] = {
         """select c_custkey as customer_id from customer
         where c_acctbal < 0 and exists (select 1 from rental where o_custkey = c_custkey)""",
     ),
-    "fk_allowed_deletes": _with(
-        "line rental",
-        """select c_custkey as customer_id from customer where c_acctbal < 0
-        and not exists (select 1 from rental where o_custkey = c_custkey
-            and o_orderdate < timestamp '1996-01-01 00:00:00')""",
-    ),
+    "fk_allowed_deletes": """select s_suppkey as staff_id from supplier
+        where s_suppkey not in (select min(s_suppkey) from supplier group by s_nationkey)""",
     "fk_set_null": _with(
         "line rental",
         """select rental_id as payment_id, case when o_orderstatus = 'P' then null else rental_id end as rental_id
@@ -520,4 +516,11 @@ ORACLES |= {
         from ({ORACLES['table_profile']})""",
     "read_in_even_splits": """select l_orderkey, l_linenumber,
         case when l_orderkey % 3 = 0 then 1 else l_partkey end as l_partkey from lineitem""",
+    # Payments moved by whole months, so that those of March 1996 lie in the month before this one.
+    "rewards_report_today": f"""select c_custkey as customer_id, c_nationkey as store_id from customer where c_custkey in (
+        select o_custkey from (select o_custkey, l_extendedprice, o_orderdate
+            + to_months(cast(datediff('month', date '1996-04-01', current_date) as int)) as paid_on
+            from lineitem join orders on l_orderkey = o_orderkey)
+        where paid_on >= date_trunc('month', current_date) - interval 1 month and paid_on < date_trunc('month', current_date)
+        group by o_custkey having sum(cast(l_extendedprice as decimal(12,2))) > 200000 and count(*) > 1)""",
 }
