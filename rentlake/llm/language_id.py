@@ -64,15 +64,17 @@ def letters_of(word: str) -> str:
 def four_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The packed four-grams of all words, and the number of the word each belongs to.
 
-    A character takes 16 bits; those beyond the basic plane share one value.
+    A unit of 16 bits counts as a character; one beyond the basic plane is two of them, so that
+    different ones stay apart.
     """
     clean = [letters_of(w) for w in words]
     joined = "".join([f"{START * (ORDER - 1)}{w}{END}" for w in clean if w])
-    points = np.minimum(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32), 0xFFFF).astype(U)
+    points = np.frombuffer(joined.encode("utf-16-le", "surrogatepass"), dtype="<u2").astype(U)
     packed = points.copy()
     for k in range(1, ORDER):
         packed[k:] |= points[:-k] << U(16 * k)
-    word = np.repeat(np.arange(len(words)), [len(w) + 1 if w else 0 for w in clean])
+    units = len if len(points) == len(joined) else lambda w: len(w.encode("utf-16-le", "surrogatepass")) // 2
+    word = np.repeat(np.arange(len(words)), [units(w) + 1 if w else 0 for w in clean])
     return packed[points != ord(START)], word
 
 

@@ -10,6 +10,12 @@ from rentlake.llm import language_id
 from tests.conftest import SAMPLES
 
 
+def padded_word(w):
+    """Marks around the 16-bit units of a word."""
+    units = w.encode("utf-16-le")
+    return "\x01\x01\x01" + "".join(chr(units[i] + 256 * units[i + 1]) for i in range(0, len(units), 2)) + "\x02"
+
+
 def brute_model(rows):
     """Interpolated Kneser-Ney probabilities in plain dictionaries."""
     models = {}
@@ -18,7 +24,7 @@ def brute_model(rows):
         for text, of in rows:
             if of == lang:
                 for w in language_id.words_of(text):
-                    padded = "\x01\x01\x01" + w + "\x02"
+                    padded = padded_word(w)
                     grams.update(padded[i - 3 : i + 1] for i in range(3, len(padded)))
         orders = {4: grams}
         for n in (3, 2, 1):
@@ -40,7 +46,7 @@ def brute_model(rows):
     def entropy(lang, text):
         bits = n = 0
         for w in language_id.words_of(text):
-            padded = "\x01\x01\x01" + w + "\x02"
+            padded = padded_word(w)
             for i in range(3, len(padded)):
                 bits -= math.log2(probability(models[lang], padded[i - 3 : i + 1]))
                 n += 1
@@ -60,6 +66,15 @@ def test_entropies_equal_brute_force(spark):
         assert row.tolist() == pytest.approx([entropy("de", text), entropy("en", text)])
 
 
+def test_letters_beyond_the_basic_plane_are_told_apart(spark):
+    gothic, deseret = (["".join(chr(first + (7 * i + 3 * k * k) % 20) for k in range(4)) for i in range(20)] for first in (0x10330, 0x10400))
+    rows = [(" ".join(gothic), "got"), (" ".join(deseret), "dsrt")]
+    model = language_id.train(spark.createDataFrame(rows, "text string, lang string"))
+    bits, sizes = model.entropies([" ".join(gothic[:5]), " ".join(deseret[:5])])
+    assert [model.langs[k] for k in bits.argmin(axis=1)] == ["got", "dsrt"]
+    assert np.abs(bits[:, 0] - bits[:, 1]).min() > 3 and sizes[1] == 45  # two units a letter, and the end of each word
+
+
 def test_probabilities_sum_to_one_with_very_many_grams(spark):
     rng = random.Random(4)
     text = " ".join("".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(12)) for _ in range(40_000))
