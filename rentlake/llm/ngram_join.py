@@ -381,8 +381,14 @@ def _with_both(pairs: DataFrame, arrays: DataFrame, *columns: str) -> DataFrame:
     return pairs
 
 
-def _verify(pairs: DataFrame, arrays: DataFrame, measure: Measure) -> DataFrame:
-    return _with_both(pairs.select("a", "b"), arrays, "shingles").mapInArrow(partial(verified, measure=measure), "a long, b long")
+def _verify(pairs: DataFrame, texts: DataFrame, measure: Measure, scratch: Scratch, name: str) -> DataFrame:
+    """Of written candidate pairs, those that link; the shingles of their sets alone are made and moved."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    arrays = scratch.keep(_arrays(texts, ends, measure).drop("sketch"), f"{name}_arrays")
+    found = _with_both(pairs, arrays, "shingles").mapInArrow(partial(verified, measure=measure), "a long, b long")
+    found = scratch.keep(found, f"{name}_links")
+    scratch.clear(f"{name}_arrays")
+    return found
 
 
 def _arrays(texts: DataFrame, nodes: DataFrame, measure: Measure) -> DataFrame:
@@ -461,10 +467,11 @@ def linked_components(docs: DataFrame, measure: Measure = PAIRS, count_links: bo
         .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
         .distinct()
     )
-    arrays = scratch.keep(_arrays(texts, shared, measure), "arrays")
-    likely = _with_both(stars, arrays, "n", "sketch").mapInArrow(partial(possible, measure=measure), "a long, b long")
+    sketches = scratch.keep(_arrays(texts, shared, measure).drop("shingles"), "sketches")
+    likely = _with_both(stars, sketches, "n", "sketch").mapInArrow(partial(possible, measure=measure), "a long, b long")
     likely = scratch.keep(likely, "likely")
-    first = scratch.keep(_verify(likely, arrays, measure).unionByName(by_subset).distinct(), "first")
+    first = _verify(likely, texts, measure, scratch, "first").unionByName(by_subset)
+    first = scratch.keep(first.distinct(), "first")
     scratch.clear("keyed", "lists")
     parts = connected_components(first, scratch, "parts")
 
@@ -486,14 +493,15 @@ def linked_components(docs: DataFrame, measure: Measure = PAIRS, count_links: bo
     )
     crossing = (
         _chunk_pairs(labelled.join(open_lists, "key"), ["key"], ["node", "n", "component"])
-        .join(arrays.select("node", "n", "sketch"), ["node", "n"])
+        .join(sketches, ["node", "n"])
         .repartition("key", "i", "j")
         .sortWithinPartitions("key", "i", "j")
         .mapInArrow(partial(close_pairs, measure=measure), "a long, b long")
         .distinct()
     )
-    second = scratch.keep(first.unionByName(_verify(crossing, arrays, measure)), "second")
-    scratch.clear("arrays", "shared")
+    crossing = scratch.keep(crossing, "crossing")
+    second = first.unionByName(_verify(crossing, texts, measure, scratch, "second"))
+    scratch.clear("sketches", "shared")
     whole = scratch.keep(connected_components(second, scratch, "whole"), "components")
     grouped = members.join(whole, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
     alone = empty.withColumn("component_id", F.col("doc_id"))
