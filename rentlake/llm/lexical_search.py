@@ -245,9 +245,10 @@ def _best(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _exact(texts: DataFrame, pairs: DataFrame, block: Block, corpus: Corpus) -> DataFrame:
-    # A text is taken apart once, whatever the number of items that ask for it.
-    asked = pairs.groupBy("text_key").agg(F.collect_set("item").alias("items"))
+def _exact(texts: DataFrame, pairs: DataFrame, block: Block, corpus: Corpus, scratch: Scratch, name: str) -> DataFrame:
+    # A text is taken apart once, whatever the number of items that ask for it. Written, so that
+    # the join has a shuffle of its own and splits a text of very many copies.
+    asked = scratch.keep(pairs.groupBy("text_key").agg(F.collect_set("item").alias("items")), name)
     return texts.join(asked, "text_key").select("doc_id", "text", "items").mapInArrow(
         block.scores(corpus), "item int, doc_id long, score long"
     )
@@ -263,7 +264,8 @@ def _rank_block(texts: DataFrame, sketched: DataFrame, block: Block, corpus: Cor
             .withColumn("place", F.row_number().over(order))
             .where(F.col("place") <= most)
         )
-        first = scratch.keep(_exact(texts, highest.select("item", "text_key"), block, corpus), f"{name}_first")
+        tried = _exact(texts, highest.select("item", "text_key"), block, corpus, scratch, f"{name}_highest")
+        first = scratch.keep(tried, f"{name}_first")
         # At most k rows for an item; the threshold is the score of the last of them, if there are k.
         best: dict[int, list[int]] = {}
         for r in _best(first, k).select("item", "score").collect():
@@ -275,7 +277,7 @@ def _rank_block(texts: DataFrame, sketched: DataFrame, block: Block, corpus: Cor
         most *= GROWTH
     pairs = sketched.mapInArrow(block.open_pairs(corpus, threshold, False), "item int, text_key long").distinct()
     # All at or above the threshold, those of the rounds before included: the k best are among them.
-    scored = _exact(texts, scratch.keep(pairs, f"{name}_pairs"), block, corpus)
+    scored = _exact(texts, pairs, block, corpus, scratch, f"{name}_pairs")
     return scratch.keep(_best(scored, k), f"{name}_best")
 
 
