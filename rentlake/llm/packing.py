@@ -48,9 +48,23 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@cache
+def _plain_tokenizer(path: str):
+    """The same vocabulary for words that are in lower case and whole already: it splits at spaces alone."""
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    plain = Tokenizer.from_file(path)
+    plain.normalizer = normalizers.Sequence([])
+    plain.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    )
+    return plain
+
+
 # One word a line: plain letters and the signs after them, which the vocabulary splits just so, and what else there is.
 PLAIN = re.compile(r"^([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,!?;:#$%&*|<>]*)(.*)$", re.MULTILINE)
 BREAK = "\x01"  # a sign with an id of its own that nothing merges with
+WORD_END = "</w>"  # how a vocabulary of words marks the last id of one
 TOGETHER = 2000  # parts that are encoded in one call
 
 
@@ -74,7 +88,10 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
+        self.tokenizer, self.plain = _tokenizer(path), _plain_tokenizer(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[k for token, k in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -86,33 +103,53 @@ class Encoder:
         self.start = np.zeros(1, dtype=np.int64)
         self.length = np.zeros(1, dtype=np.int64)
 
-    def ids_of(self, text: str) -> np.ndarray:
+    def ids_of(self, text: str, plain: bool = False) -> np.ndarray:
         # The fast form works out no offsets.
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint16)
-
-    def learn_parts(self, parts: list[str]) -> None:
-        """Encode many parts in few calls, each with a break after it; odd ones one by one."""
+        tokenizer = self.plain if plain else self.tokenizer
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint16)
+
+    def learn_plain(self, parts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids and lengths of parts that are one word to the vocabulary, whose last id says that a word ends."""
+        found, lengths = [], []
+        for low in range(0, len(parts), TOGETHER):
+            some = parts[low : low + TOGETHER]
+            ids = self.ids_of(" ".join(some), plain=True)
+            ends = np.flatnonzero(self.ends_word[ids])
+            if len(ends) != len(some):
+                raise ValueError("the vocabulary parts words of letters or of signs")
+            found.append(ids)
+            lengths.append(np.diff(ends, prepend=-1))
+        return found, lengths
+
+    def learn_odd(self, words: list[str]) -> tuple[list[str], list[np.ndarray], list[np.ndarray]]:
+        """Other words in the order in which they are encoded: many in one call with a break after
+        each, those that hold the break or a special sign alone."""
         mark = self.ids_of(BREAK)[0]
-        odd = [p for p in parts if BREAK in p or "<|" in p]
-        plain = list(set(parts).difference(odd)) if odd else parts
-        found, lengths = [self.flat], [self.length]
-        for low in range(0, len(plain), TOGETHER):
-            ids = self.ids_of(f" {BREAK} ".join([*plain[low : low + TOGETHER], ""]))
+        alone = [w for w in words if BREAK in w or "<|" in w]
+        rest = list(set(words).difference(alone)) if alone else words
+        found, lengths = [], []
+        for low in range(0, len(rest), TOGETHER):
+            ids = self.ids_of(f" {BREAK} ".join([*rest[low : low + TOGETHER], ""]))
             ends = np.flatnonzero(ids == mark)
             found.append(ids[ids != mark])
             lengths.append(np.diff(ends, prepend=-1) - 1)
-        for part in odd:
-            found.append(self.ids_of(part))
+        for word in alone:
+            found.append(self.ids_of(word))
             lengths.append(np.array([len(found[-1])]))
-        self.parts.update(zip([*plain, *odd], range(len(self.parts), len(self.parts) + len(parts)), strict=True))
-        self.flat, self.length = np.concatenate(found), np.concatenate(lengths)
-        self.start = np.cumsum(self.length) - self.length
+        return [*rest, *alone], found, lengths
 
     def learn(self, words: list[str]) -> None:
         found = PLAIN.findall("\n".join(words))
         pairs = [(a.lower(), b) if a and not rest else (word, "") for word, (a, b, rest) in zip(words, found, strict=True)]
+        odd = [word for word, (a, _, rest) in zip(words, found, strict=True) if (rest or not a) and word not in self.parts]
         flat = list(chain.from_iterable(pairs))
-        self.learn_parts(list(set(flat).difference(self.parts)))
+        plain = list(set(flat).difference(self.parts, odd))
+        ids, lengths = self.learn_plain(plain)
+        odd, more_ids, more_lengths = self.learn_odd(odd)
+        self.parts.update(zip([*plain, *odd], range(len(self.parts), len(self.parts) + len(plain) + len(odd)), strict=True))
+        self.flat = np.concatenate([self.flat, *ids, *more_ids])
+        self.length = np.concatenate([self.length, *lengths, *more_lengths])
+        self.start = np.cumsum(self.length) - self.length
         numbers = np.fromiter(map(self.parts.__getitem__, flat), dtype=np.int64, count=len(flat))
         self.pairs = np.concatenate([self.pairs, numbers.reshape(-1, 2)])
 
