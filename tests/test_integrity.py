@@ -1,8 +1,11 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from rentlake import schemas
 from rentlake.operators import integrity
+from rentlake.plans.catalogue import QUERIES
 from tests.conftest import rows
 
 
@@ -116,3 +119,21 @@ def test_schemas_are_consistent():
         assert fk in schemas.source_schema(child).names and schemas.PRIMARY_KEYS[parent] == [pk]
         assert action in ("RESTRICT", "SET NULL")
     assert len(schemas.FOREIGN_KEYS) == 22 and len(schemas.SOURCE_TABLES) == 16
+
+
+def test_allowed_deletes_look_at_every_payment_of_the_customers(spark, folder):
+    tables = {
+        "customer": ("c_custkey long, c_acctbal double", [(1, -1.0), (2, -1.0), (3, -1.0), (4, 5.0)]),
+        "orders": (
+            "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz",
+            [(1, 1, dt.datetime(1995, 5, 1)), (2, 1, dt.datetime(1997, 5, 1)), (3, 2, dt.datetime(1996, 1, 1)), (4, 3, dt.datetime(1994, 1, 1))],
+        ),
+        # The order of customer 3 has no line, so no payment.
+        "lineitem": (
+            "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_shipdate timestamp_ntz",
+            [(k, 1, 1, 1, 9.0, dt.datetime(1997, 6, 1)) for k in (1, 2, 3)],
+        ),
+    }
+    for name, (schema, data) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{folder}/{name}.parquet")
+    assert rows(QUERIES["fk_allowed_deletes"](spark, folder)) == [(2,), (3,)]
