@@ -14,8 +14,8 @@ and it has to fit into the driver and into each worker.
 A text gets the language of the lowest cross-entropy per character. Its score is the
 share of that language among the likelihoods of about EVIDENCE characters. It is rejected
 if its cross-entropy is above what nearly all training texts of such a length reach in
-their own language (quantile KEPT of a training fold, plus SLACK). Lengths are binned by
-powers of two; a bin with fewer than FEW texts of that fold takes the largest limit of
+their own language (quantile KEPT of all training texts, plus SLACK). Lengths are binned by
+powers of two; a bin with fewer than FEW such texts takes the largest limit of
 the nearest bins that have as many together, so that every length has a limit.
 
 Edge cases: a null text, or one without a letter, is `und` with score 0 and rejected, and
@@ -49,7 +49,7 @@ COUNTED = 2500  # texts whose words one task counts at a time
 
 LETTERS = re.compile(r"[^\W\d_]+")
 START, END = "\x01", "\x02"
-COLUMNS = "doc_id long, lang_pred string, score double, entropy double, letters long"
+COLUMNS = "doc_id long, lang_pred string, score double, entropy double, letters long, teaches boolean"
 
 
 def words_of(text: str | None) -> list[str]:
@@ -209,8 +209,9 @@ class Model:
                         pa.array(np.where(known, np.clip(score, 0, 1), 0.0)),
                         pa.array(least),
                         pa.array(sizes),
+                        part.column("teaches"),
                     ],
-                    ["doc_id", "lang_pred", "score", "entropy", "letters"],
+                    ["doc_id", "lang_pred", "score", "entropy", "letters", "teaches"],
                 )
 
 
@@ -254,7 +255,7 @@ def train(training: DataFrame) -> Model:
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     predict: Callable = lambda batches: shared.value.predict(batches)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), teaches().alias("teaches"))
     return texts.mapInArrow(predict, COLUMNS)
 
 
@@ -262,20 +263,14 @@ def length_bin(letters: str = "letters") -> Column:
     return F.floor(F.log2(F.greatest(F.col(letters), F.lit(1)))).cast("int")
 
 
-def calibrate(docs: DataFrame, model: Model) -> DataFrame:
-    """(bin, limit): the cross-entropy that texts of a length may have, for every bin, from
-    fold 1 or, where that has no text, from all training folds."""
-    fold = fold_of(F.col("doc_id"), 5)
-    rows = []
-    for training in (fold == 1, fold != 0):
-        known = scored(docs.where(training & F.col("lang").isNotNull()), model).where("letters > 0")
-        rows = known.groupBy(length_bin().alias("bin")).agg(
-            F.count("*").alias("n"), (F.percentile_approx("entropy", KEPT, 100_000) + SLACK).alias("limit")
-        ).collect()  # at most BINS rows
-        if rows or not model.langs:
-            break
+def calibrate(known: DataFrame) -> DataFrame:
+    """(bin, limit): the cross-entropy that texts of a length may have, for every bin, from the
+    (entropy, letters) of all training texts."""
+    rows = known.where("letters > 0").groupBy(length_bin().alias("bin")).agg(
+        F.count("*").alias("n"), (F.percentile_approx("entropy", KEPT, 100_000) + SLACK).alias("limit")
+    ).collect()  # at most BINS rows
     limits = every_limit({r["bin"]: (r["n"], r["limit"]) for r in rows})
-    return docs.sparkSession.createDataFrame(sorted(limits.items()), "bin int, limit double")
+    return known.sparkSession.createDataFrame(sorted(limits.items()), "bin int, limit double")
 
 
 def every_limit(found: dict[int, tuple[int, float]]) -> dict[int, float]:
@@ -295,18 +290,25 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))
 
 
+def teaches() -> Column:
+    """Is a row one that models and limits are learned from, one of folds 1 to 4 with a language?"""
+    return (fold_of(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull()
+
+
 def identify(docs: DataFrame) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, rejected, entropy) for every row of `docs` (doc_id, text, lang)."""
-    fold = fold_of(F.col("doc_id"), 5)
-    model = train(docs.where(fold != 0))
-    limits = calibrate(docs, model)
+    """(doc_id, held_out, lang_pred, score, rejected, entropy) for every row of `docs` (doc_id, text, lang).
+
+    Every text is scored once; limits and rejections are taken from the written scores.
+    """
+    model = train(docs.where(teaches()))
+    each = Scratch(docs.sparkSession).keep(scored(docs, model), "scores")
+    limits = calibrate(each.where("teaches"))
     return (
-        scored(docs, model)
-        .withColumn("bin", length_bin())
+        each.withColumn("bin", length_bin())
         .join(F.broadcast(limits), "bin", "left")
         .select(
             "doc_id",
-            (fold == 0).alias("held_out"),
+            (fold_of(F.col("doc_id"), 5) == 0).alias("held_out"),
             "lang_pred",
             "score",
             ((F.col("lang_pred") == "und") | (F.col("entropy") > F.col("limit"))).alias("rejected"),
@@ -320,9 +322,9 @@ def identified(docs: DataFrame) -> DataFrame:
 
     The text is scored where it lies, so no row moves: the other columns are carried along.
     """
-    fold = fold_of(F.col("doc_id"), 5)
-    model = train(docs.where(fold != 0))
-    limits = calibrate(docs, model)
+    taught = docs.where(teaches())
+    model = train(taught)
+    limits = calibrate(scored(taught, model))
     numbers = {r["bin"]: r["limit"] for r in limits.collect()}
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -150,3 +150,16 @@ def test_edge_cases(spark):
     assert language_id.identify(docs.limit(0)).collect() == []
     unlabelled = docs.selectExpr("doc_id", "text", "cast(null as string) lang")
     assert {r["lang_pred"] for r in language_id.identify(unlabelled).collect()} == {"und"}
+
+
+def test_limits_rest_on_all_training_folds(spark):
+    folds = {i: zlib.crc32(str(i).encode()) % 5 for i in range(400)}
+    # Only folds 2 to 4 hold the long words; fold 1 has as many short texts.
+    rows = [(i, "the cat" if f == 1 else "the cat " * 40 + "qxzjv " * 20, "en") for i, f in folds.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in language_id.identify(docs).collect()}
+    assert not any(r["rejected"] for r in got.values())
+    taught = docs.where(language_id.teaches())
+    limits = language_id.calibrate(language_id.scored(taught, language_id.train(taught)))
+    top = limits.where("bin = 8").first()["limit"]
+    assert top == pytest.approx(max(r["entropy"] for i, r in got.items() if folds[i] > 1) + language_id.SLACK)
