@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from rentlake.operators.integrity import duplicate_keys
 from rentlake.plans.adapters import RentalData
+from tests.conftest import SAMPLES
 
 
 def test_copies_of_many_suppliers_do_not_share_an_id(spark, folder):
@@ -15,3 +16,12 @@ def test_copies_of_many_suppliers_do_not_share_an_id(spark, folder):
     assert duplicate_keys(copies, ["inventory_id"]).count() == 0
     assert copies.count() == len(pairs)
     assert {r["inventory_id"] for r in copies.where("film_id = 2").collect()} == {(2 << 32) + 1, (2 << 32) + 10_001, 2 << 32}
+
+
+def test_stored_order_lines_spare_the_join_for_rentals_and_payments(spark, folder):
+    d, stored = RentalData(spark, SAMPLES), RentalData(spark, SAMPLES).store_order_lines(f"{folder}/lines")
+    for name in ("rental", "payment"):
+        whole, read = getattr(d, name), getattr(stored, name)
+        assert read.schema == whole.schema and read.count() == whole.count() > 0
+        assert read.exceptAll(whole).count() == 0
+        assert "Join" not in str(read._jdf.queryExecution().optimizedPlan())
