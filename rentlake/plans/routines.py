@@ -99,12 +99,15 @@ def customer_balances(
     moment, and its running total is the answer. The work follows amounts and questions,
     not their product. A question asked twice is answered twice.
     """
-    amounts = _amounts(rental, inventory, film, payment, keys_in=rental)
+    each = _amounts(rental, inventory, film, payment, keys_in=rental)
+    # One row for all amounts of a customer at a moment; the lines of an order have both in common.
+    amounts = each.groupBy("customer_id", "at").agg(F.sum("amount").alias("amount"))
     none = F.lit(None).cast(amounts.schema["amount"].dataType)
     asked = questions.select("customer_id", F.col("as_of").cast("timestamp_ntz").alias("at"), none.alias("amount"), F.lit(1).alias("asked"))
     rows = amounts.withColumn("asked", F.lit(0)).unionByName(asked)
     totals = running_totals(rows, ["customer_id"], ["at", "asked"], "amount", "balance")
-    return totals.where("asked = 1").select("customer_id", F.col("at").alias("as_of"), "balance")
+    balance = F.col("balance").cast(amounts.schema["amount"].dataType)
+    return totals.where("asked = 1").select("customer_id", F.col("at").alias("as_of"), balance.alias("balance"))
 
 
 def open_rentals(rental: DataFrame) -> DataFrame:

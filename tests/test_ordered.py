@@ -72,3 +72,12 @@ def test_views_with_assembled_lists(rental_shop):
     assert rows(marts.film_list(*films, assembled=True)) == rows(marts.film_list(*films))
     actors = [t[n] for n in ("actor", "film_actor", "film", "film_category", "category")]
     assert rows(marts.actor_info(*actors, assembled=True)) == rows(marts.actor_info(*actors))
+
+
+def test_what_ranges_carry_is_broadcast_and_the_tie_is_narrow(spark, without_adaptive_execution):
+    df = spark.range(3000).select((F.col("id") % 3).alias("k"), F.floor(F.col("id") / 3).alias("at"), F.lit(1).alias("v"))
+    totals = ordered.running_totals(df, ["k"], ["at"], "v", "total")
+    assert totals.where("total <> at + 1").count() == 0 and totals.count() == 3000
+    plan = str(totals._jdf.queryExecution().executedPlan())
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert ordered.TIES <= 1 << 15
