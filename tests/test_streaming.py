@@ -207,3 +207,15 @@ def test_continuous_trigger(spark, lake):
     finally:
         query.stop()
     assert spark.table(lake.bronze_name).count() == 1
+
+
+def test_a_split_row_is_written_for_one_reader(spark, lake, dims):
+    lake.land("a", [rental(1), rental(2, staff=9), rental(3, customer=7)])
+    bronze, path = lake.bronze(), lake.work.path("split")
+    split = medallion.split_rentals(bronze, **dims)
+    assert rows(split.where("rental_key = 1").select("rental.*")) == rows(bronze.where("rental_key = 1"))
+    medallion.write_split(split, path)
+    written = spark.read.schema(split.schema).parquet(path)
+    assert written.where("complete AND rental IS NOT NULL").count() == 0
+    assert written.where("NOT complete AND (rental_key IS NOT NULL OR title IS NOT NULL)").count() == 0
+    assert rows(medallion.quarantine_of(spark, path, split.schema)) == rows(bronze.where("rental_key > 1"))
