@@ -42,23 +42,16 @@ ROWS = 500
 
 
 @cache
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
-@cache
-def _plain_tokenizer(path: str):
-    """The same vocabulary for words that are in lower case and whole already: it splits at spaces alone."""
+def _tokenizer(path: str) -> tuple:
+    """The vocabulary, once for a worker, with the normalizer and splitter of whole texts, and those
+    for words that are in lower case and whole already, which split at spaces alone."""
     from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-    plain = Tokenizer.from_file(path)
-    plain.normalizer = normalizers.Sequence([])
-    plain.pre_tokenizer = pre_tokenizers.Sequence(
+    tokenizer = Tokenizer.from_file(path)
+    plain = normalizers.Sequence([]), pre_tokenizers.Sequence(
         [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
     )
-    return plain
+    return tokenizer, (tokenizer.normalizer, tokenizer.pre_tokenizer), plain
 
 
 # One word a line: plain letters and the signs after them, which the vocabulary splits just so, and what else there is.
@@ -88,7 +81,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.plain = _tokenizer(path), _plain_tokenizer(path)
+        self.tokenizer, self.whole, self.plain = _tokenizer(path)
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[k for token, k in vocabulary.items() if token.endswith(WORD_END)]] = True
@@ -105,8 +98,8 @@ class Encoder:
 
     def ids_of(self, text: str, plain: bool = False) -> np.ndarray:
         # The fast form works out no offsets.
-        tokenizer = self.plain if plain else self.tokenizer
-        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint16)
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.plain if plain else self.whole
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint16)
 
     def learn_plain(self, parts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids and lengths of parts that are one word to the vocabulary, whose last id says that a word ends."""

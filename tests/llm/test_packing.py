@@ -93,3 +93,13 @@ def test_neighbours_are_alike():
     keys = packing.curve_keys(np.concatenate(ids), np.arange(0, 30001, 300))
     order = np.argsort(keys, kind="stable") % 5
     assert (order[1:] == order[:-1]).mean() > 0.5
+
+
+def test_a_worker_holds_one_vocabulary_for_both_forms(monkeypatch):
+    loaded, load = [], Tokenizer.from_file
+    monkeypatch.setattr(Tokenizer, "from_file", lambda path: loaded.append(path) or load(path))
+    packing._tokenizer.cache_clear()
+    texts = ["Some words, SOME more", "x <|y|> 12-ab \x01 é", "", None]
+    got = [packing.Encoder(PATH).encode(texts)[0].tolist() for _ in range(2)]  # the second comes after a change of form
+    want = [i for t in texts for i in [*load(PATH).encode(t or "", add_special_tokens=False).ids, 1]]
+    assert got == [want, want] and len(loaded) == 1
