@@ -1,0 +1,72 @@
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from rentlake.operators import slices
+from rentlake.operators.joins import lookup_join
+from tests.conftest import rows
+
+
+@pytest.fixture
+def without_broadcasts(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def shuffle_files(spark):
+    """Names of the shuffle files on this machine's disk."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = {files.apply(k).getName() for k in range(files.size())}
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def left_behind(spark, before, seconds=10):
+    """Shuffle files that are there since `before` and stay; they are removed in the background."""
+    end = time.time() + seconds
+    while (found := shuffle_files(spark) - before) and time.time() < end:
+        time.sleep(0.2)
+    return found
+
+
+def test_every_row_is_in_one_slice(spark):
+    df = spark.range(1000).select(F.when(F.col("id") % 10 > 0, F.col("id") % 77).alias("key"), "id")
+    parts = [[tuple(r) for r in p.collect()] for p in slices.slices(df, "key", 5)]
+    assert sorted((r for p in parts for r in p), key=str) == sorted((tuple(r) for r in df.collect()), key=str)
+    assert all(parts) and sum(any(r[0] is None for r in p) for p in parts) == 1
+    assert [slices.slices_for(n) for n in (0, 1, slices.ROWS, slices.ROWS + 1, 10**12)] == [1, 1, 1, 2, slices.MOST]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_a_join_sees_a_slice_of_both_sides(spark, folder, how):
+    spark.range(1000).selectExpr("id", "id % 400 AS key").write.parquet(f"{folder}/facts")
+    spark.range(300).selectExpr("id AS key", "id * 2 AS twice").write.parquet(f"{folder}/dim")
+    facts, dim = spark.read.parquet(f"{folder}/facts"), spark.read.parquet(f"{folder}/dim")
+    parts = [lookup_join(p, dim, "key", how) for p in slices.slices(facts, "key", 4)]
+    assert sorted(map(str, (r for p in parts for r in p.collect()))) == sorted(map(str, lookup_join(facts, dim, "key", how).collect()))
+    for part in parts:
+        assert str(part._jdf.queryExecution().optimizedPlan()).count("pmod(xxhash64(key") == 2
+
+
+def test_shuffles_go_with_their_job(without_broadcasts, folder):
+    spark = without_broadcasts
+    setting = spark.conf.get(slices.RELEASE)
+    before = shuffle_files(spark)
+    df = lookup_join(spark.range(1000).selectExpr("id", "id % 10 AS key"), spark.range(10).selectExpr("id AS key"), "key")
+    modes = []
+
+    def write(part, mode):
+        assert not left_behind(spark, before)
+        modes.append(mode)
+        part.write.mode(mode).parquet(f"{folder}/out")
+
+    for _ in range(2):
+        slices.write_in_slices(df, "key", 3, write)
+    assert modes == ["overwrite", "append", "append"] * 2
+    assert rows(spark.read.parquet(f"{folder}/out")) == rows(df)
+    assert spark.conf.get(slices.RELEASE) == setting
+    with pytest.raises(ZeroDivisionError), slices.shuffles_released(spark):
+        1 / 0
+    assert spark.conf.get(slices.RELEASE) == setting
