@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rentlake import schemas
+from rentlake.operators import slices
 from rentlake.plans import gold
 from rentlake.sources import files
 from rentlake.streaming import ingest, medallion
@@ -219,3 +220,27 @@ def test_a_split_row_is_written_for_one_reader(spark, lake, dims):
     assert written.where("complete AND rental IS NOT NULL").count() == 0
     assert written.where("NOT complete AND (rental_key IS NOT NULL OR title IS NOT NULL)").count() == 0
     assert rows(medallion.quarantine_of(spark, path, split.schema)) == rows(bronze.where("rental_key > 1"))
+
+
+def land_many(lake):
+    for name in ("a", "b"):
+        lake.land(name, [rental(i, customer=1 + i % 3, copy=1 + i % 4 // 3, returned=None if i % 5 == 0 else "2024-05-09T11:00:00") for i in range(30)])
+    return lake.bronze()
+
+
+def copies(dims):
+    return {**dims, "inventory": dims["inventory"].unionByName(dims["inventory"].withColumn("inventory_key", F.lit(2)))}
+
+
+def test_a_split_and_its_replay_in_slices(spark, lake, dims, monkeypatch):
+    monkeypatch.setattr(slices, "ROWS", 7)
+    bronze, dims = land_many(lake), copies(dims)
+    early = {**dims, "customers": dims["customers"].where("customer_key = 1")}
+    path, schema = lake.work.path("split"), medallion.split_rentals(bronze, **dims).schema
+    medallion.run_silver_split(spark, lake.bronze_name, early, path, lake.work.path("split_checkpoint"))
+    again = lake.work.path("replay")
+    for _ in range(2):  # the second one replaces the first
+        assert medallion.replay(medallion.quarantine_of(spark, path, schema), dims, again) == schema
+    whole = medallion.silver_of(spark, path, schema).unionByName(medallion.silver_of(spark, again, schema))
+    assert rows(whole) == rows(medallion.enrich_rentals(bronze, **dims))
+    assert whole.count() + medallion.quarantine_of(spark, again, schema).count() == bronze.count()
