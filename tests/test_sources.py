@@ -1,10 +1,12 @@
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from rentlake import schemas
 from rentlake.operators import reports
+from rentlake.plans import adapters
 from rentlake.plans.adapters import write_json_arrays
 from rentlake.sources import dimensions, documents, files, jdbc, tables
 from rentlake.workspace import SETTING, Workspace, shared_root
@@ -55,6 +57,30 @@ def test_json_arrays_round_trip_in_bounded_files(spark, folder):
     assert max(sizes) <= 2200 and len(sizes) >= 9
 
 
+def test_json_arrays_are_written_as_rows_come(spark, folder):
+    taken = []
+
+    def batches():
+        for k in range(20):
+            taken.append(k)
+            yield pa.record_batch({"doc": pa.array([b'{"id":%d}' % (10 * k + i) for i in range(10)] + [None])})
+
+    arrays = adapters._arrays(100)(batches())
+    first = json.loads(next(arrays).column(0)[0].as_py())
+    assert first == [{"id": i} for i in range(len(first))] and len(taken) < 4  # one array is held, not the task's
+    assert [r["id"] for a in arrays for r in json.loads(a.column(0)[0].as_py())] == list(range(len(first), 200))
+    one = list(adapters._arrays(5)(iter([pa.record_batch({"doc": pa.array([b'"long text"', b"1"])})])))
+    assert [a.column(0)[0].as_py() for a in one] == ['["long text"]', "[1]"]
+
+
+def test_json_arrays_can_be_compressed(spark, folder):
+    df = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, F.lit("ä,]")).alias("x"))
+    write_json_arrays(df.repartition(3), f"{folder}/out", bytes_per_file=2000, compression="gzip")
+    assert rows(files.read_json_arrays(spark, f"{folder}/out", df.schema)) == rows(df)
+    names = [r["name"] for r in files.file_inventory(spark, f"{folder}/out", "part-*").collect()]
+    assert len(names) >= 9 and all(n.endswith(".gz") for n in names)
+
+
 def test_file_inventory(spark, staff_files):
     got = files.file_inventory(spark, staff_files, "*.json")
     row = got.first()
