@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 import shutil
 
 import pytest
@@ -12,6 +13,7 @@ from rentlake.sources import files
 from rentlake.streaming import ingest, medallion
 from rentlake.workspace import Workspace
 from tests.conftest import rows, write
+from tests.test_slices import left_behind, shuffle_files
 
 
 def rental(key, customer=1, staff=1, copy=1, rented="2024-05-07T10:00:00", returned="2024-05-09T11:00:00"):
@@ -222,6 +224,10 @@ def test_a_split_row_is_written_for_one_reader(spark, lake, dims):
     assert rows(medallion.quarantine_of(spark, path, split.schema)) == rows(bronze.where("rental_key > 1"))
 
 
+def local(path):
+    return path.removeprefix("file://")
+
+
 def land_many(lake):
     for name in ("a", "b"):
         lake.land(name, [rental(i, customer=1 + i % 3, copy=1 + i % 4 // 3, returned=None if i % 5 == 0 else "2024-05-09T11:00:00") for i in range(30)])
@@ -232,6 +238,32 @@ def copies(dims):
     return {**dims, "inventory": dims["inventory"].unionByName(dims["inventory"].withColumn("inventory_key", F.lit(2)))}
 
 
+def test_a_large_batch_is_joined_in_slices(spark, lake, dims, monkeypatch):
+    monkeypatch.setattr(slices, "ROWS", 7)
+    asked = []
+    monkeypatch.setattr(medallion, "slices_for", lambda n: asked.append(n) or slices.slices_for(n))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bronze, dims = land_many(lake), copies(dims)
+        before = shuffle_files(spark)
+        silver = lake.silver(dims)
+        assert asked == [60] and not left_behind(spark, before)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert silver.columns == medallion.SILVER_COLUMNS
+    assert rows(silver) == rows(medallion.enrich_rentals(bronze, **dims))
+    # A batch that is repeated replaces what it left.
+    for name in ("0", ".0.crc"):
+        os.remove(f"{local(lake.work.path('silver_checkpoint'))}/commits/{name}")
+    assert rows(lake.silver(dims)) == rows(medallion.enrich_rentals(bronze, **dims)) and asked == [60, 60]
+    lake.land("c", [rental(100)])
+    lake.bronze()
+    assert lake.silver(dims).where("rental_key = 100").count() == 1
+    # Silver is a stream's source in its turn.
+    ingest.append_to_table(ingest.stream_table(spark, lake.silver_name), lake.work.table("next"), lake.work.path("next_checkpoint"), lake.work.path("next"))
+    assert rows(spark.table(lake.work.table("next"))) == rows(spark.table(lake.silver_name))
+
+
 def test_a_split_and_its_replay_in_slices(spark, lake, dims, monkeypatch):
     monkeypatch.setattr(slices, "ROWS", 7)
     bronze, dims = land_many(lake), copies(dims)
@@ -244,3 +276,25 @@ def test_a_split_and_its_replay_in_slices(spark, lake, dims, monkeypatch):
     whole = medallion.silver_of(spark, path, schema).unionByName(medallion.silver_of(spark, again, schema))
     assert rows(whole) == rows(medallion.enrich_rentals(bronze, **dims))
     assert whole.count() + medallion.quarantine_of(spark, again, schema).count() == bronze.count()
+
+
+def test_tables_of_the_file_sink_go_on_as_they_were(spark, lake, dims):
+    lake.land("a", [rental(1)])
+    lake.bronze()
+    first = medallion.enrich_rentals(ingest.stream_table(spark, lake.bronze_name), **dims)
+    ingest.append_to_table(first, lake.silver_name, lake.work.path("silver_checkpoint"), lake.work.path("silver"))
+    lake.land("b", [rental(2)])
+    lake.bronze()
+    assert rows(lake.silver(dims), "rental_key") == [(1,), (2,)]
+
+
+def test_silver_without_a_location_and_with_partitions(spark, lake, dims):
+    lake.land("a", [rental(1), rental(2, rented="2024-05-01T10:00:00")])
+    bronze = lake.bronze()
+    whole = rows(medallion.enrich_rentals(bronze, **dims))
+    for name, by in (("managed", []), ("parted", ["rental_day"])):
+        table = lake.work.table(name)
+        medallion.run_silver(spark, lake.bronze_name, dims, table, lake.work.path(f"{name}_checkpoint"), partition_by=by)
+        assert rows(spark.table(table).select(*medallion.SILVER_COLUMNS)) == whole
+        parts = [r["col_name"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()]
+        assert ("# Partition Information" in parts) == bool(by)
